@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from tidegate.functions.compare import quoted
 from tidegate.functions.marks import STAGES, current_stage, file_hash, reached, stage_rank, stamp, stamp_column
 from tidegate.operators.dml import delete_matching, matching, new, update_from, update_where
-from tidegate.operators.merge import merge
 
 # The ledger's columns.
 SCHEMA = T.StructType(
@@ -95,12 +94,22 @@ def register(
     returned as rejected.
     """
     wanted = files.withColumn("increment", _attempt(files)).dropDuplicates(list(ENTRY))
-    before = wanted.where(F.col("increment") > 0).withColumn("increment", F.col("increment") - 1)
-    orphans = delete_matching(before, ledger, list(ENTRY)).withColumn("increment", F.col("increment") + 1)
-    # The rejected set is used twice; it holds only wrongly numbered attempts.
-    accepted = delete_matching(wanted, orphans, list(ENTRY))
-    state = merge(ledger, entries_for(accepted, at, extra_stages), list(ENTRY), "merge_insert")
-    return Registered(state, orphans)
+    # Each ledger row says two things: its own attempt is there, and the next may follow.
+    told = F.array(
+        F.struct(F.col("increment"), F.lit(True).alias("held"), F.lit(False).alias("preceded")),
+        F.struct((F.col("increment") + 1).alias("increment"), F.lit(False).alias("held"), F.lit(True).alias("preceded")),
+    )
+    known = (
+        ledger.select(*FILE, F.explode(told).alias("t"))
+        .groupBy(*FILE, F.col("t.increment").alias("increment"))
+        .agg(F.bool_or("t.held").alias("__held"), F.bool_or("t.preceded").alias("__preceded"))
+    )
+    relevant = known.join(wanted.select(*ENTRY), list(ENTRY), "left_semi")
+    judged = wanted.join(relevant, list(ENTRY), "left")
+    orphaned = (F.col("increment") > 0) & ~F.coalesce(F.col("__preceded"), F.lit(False))
+    absent = ~F.coalesce(F.col("__held"), F.lit(False))
+    state = ledger.unionByName(entries_for(judged.where(absent & ~orphaned), at, extra_stages))
+    return Registered(state, judged.where(orphaned).select(*[quoted(c) for c in wanted.columns]))
 
 
 def lookup(ledger: DataFrame, files: DataFrame) -> DataFrame:
