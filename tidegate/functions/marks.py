@@ -23,8 +23,12 @@ def stamp_column(stage: str) -> str:
 
 
 def stamp(at: datetime | Column) -> Column:
-    """One load time per batch, as a literal: reruns of a task see the same value."""
-    return at if isinstance(at, Column) else F.lit(at).cast("timestamp")
+    """One load time per batch, as a literal: reruns of a task see the same value.
+
+    A time without zone is read in the session's zone (UTC in this library's settings),
+    whatever zone the driver's machine has.
+    """
+    return at if isinstance(at, Column) else F.lit(at.isoformat(sep=" ")).cast("timestamp")
 
 
 def with_lineage(df: DataFrame, file_hash_col: Column, at: datetime | Column) -> DataFrame:

@@ -1,9 +1,10 @@
 """Lineage graph over an edge table: dependents, levels, impact of failures.
 
 Each round joins the edge table with the current frontier by a left semi join with
-the edges on the left: a small frontier is broadcast by its size, a hot parent is
-split by AQE, and `distinct` aggregates partially before its shuffle. Rounds end
-their lineage in a reliable checkpoint, so a lost executor costs one round at most.
+the edges on the left. The frontier is measured: a small one is broadcast and the
+edges are not shuffled, for a large one AQE can split a hot parent; `distinct`
+aggregates partially before its shuffle. Rounds end their lineage in a reliable
+checkpoint, so a lost executor costs one round at most.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.operators.sizing import settle
 from tidegate.session import cut_lineage
 
 NODE_KINDS = ("model", "snapshot", "source")
@@ -28,25 +30,32 @@ def edges(nodes: DataFrame) -> DataFrame:
 
 
 def _children(edge_table: DataFrame, frontier: DataFrame) -> DataFrame:
-    hit = edge_table.join(frontier.select(F.col("node").alias("parent")), "parent", "left_semi")
+    hit = edge_table.join(frontier.withColumnRenamed("node", "parent"), "parent", "left_semi")
     return hit.select(F.col("child").alias("node")).distinct()
 
 
+def _together(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, frames)
+
+
 def closure(edge_table: DataFrame, starts: DataFrame) -> DataFrame:
     """All nodes reachable from `starts` (column node), the starts included.
 
     Ends on cyclic graphs too: a node seen once never enters the frontier again.
     """
-    frontier = cut_lineage(starts.select("node").distinct())
+    frontier = settle(starts.select("node").distinct()).frame
     seen = [frontier]
     while True:
-        known = reduce(DataFrame.union, seen)
-        frontier = cut_lineage(_children(edge_table, frontier).join(known, "node", "left_anti"))
-        if frontier.isEmpty():
-            return known
+        reached = settle(_children(edge_table, frontier))
+        # Semi first: with a small frontier the nodes seen so far need no shuffle.
+        again = _together(seen).join(reached.frame, "node", "left_semi")
+        found = settle(reached.frame.join(again, "node", "left_anti"))
+        if not found.rows:
+            return _together(seen)
+        frontier = found.frame
         seen.append(frontier)
         if len(seen) > 16:
-            seen = [cut_lineage(reduce(DataFrame.union, seen))]
+            seen = [cut_lineage(_together(seen))]
 
 
 def levels(edge_table: DataFrame, starts: DataFrame) -> DataFrame:
@@ -56,22 +65,22 @@ def levels(edge_table: DataFrame, starts: DataFrame) -> DataFrame:
     level do not depend on each other. Nodes on a cycle, or behind one, have no
     order: their level is NULL.
     """
-    inside = cut_lineage(closure(edge_table, starts))
-    links = cut_lineage(edge_table.join(inside.select(F.col("node").alias("parent")), "parent", "left_semi"))
-    waiting, done, level = inside, [], 0
+    inside = closure(edge_table, starts)
+    links = cut_lineage(edge_table.join(inside.withColumnRenamed("node", "parent"), "parent", "left_semi"))
+    waiting, done, level = cut_lineage(inside), [], 0
     while True:
         blocked = _children(links, waiting)
-        ready = cut_lineage(waiting.join(blocked, "node", "left_anti"))
-        if ready.isEmpty():
+        ready = settle(waiting.join(blocked, "node", "left_anti"))
+        if not ready.rows:
             break
-        done.append(ready.select("node", F.lit(level).alias("level")))
-        waiting = cut_lineage(waiting.join(ready, "node", "left_anti"))
+        done.append(ready.frame.select("node", F.lit(level).alias("level")))
+        waiting = cut_lineage(waiting.join(ready.frame, "node", "left_anti"))
         if level % 8 == 7:
-            links = cut_lineage(links.join(waiting.select(F.col("node").alias("parent")), "parent", "left_semi"))
-            done = [cut_lineage(reduce(DataFrame.union, done))]
+            links = cut_lineage(links.join(waiting.withColumnRenamed("node", "parent"), "parent", "left_semi"))
+            done = [cut_lineage(_together(done))]
         level += 1
     cyclic = waiting.select("node", F.lit(None).cast("int").alias("level"))
-    return reduce(DataFrame.union, [*done, cyclic])
+    return _together([*done, cyclic])
 
 
 def impact(edge_table: DataFrame, starts: DataFrame, failed: DataFrame) -> DataFrame:

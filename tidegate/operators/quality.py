@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.compare import any_null, keys_equal, quoted
 from tidegate.functions.names import key_list
 from tidegate.operators.dml import update_from
-from tidegate.operators.sizing import measured as settle
+from tidegate.operators.sizing import settle
 
 FAILED = "_failed_rules"
 
@@ -92,7 +92,7 @@ def _flag_copies(df: DataFrame, rule: Unique, scope: list[str], flag: str, measu
         .select(*[quoted(n).alias(f"{flag}{i}") for i, n in enumerate(names)], F.lit(True).alias(flag))
     )
     if measured:
-        copies = settle(copies)
+        copies = settle(copies).frame
     side = [f"{flag}{i}" for i in range(len(names))]
     return df.join(copies, keys_equal(names, side), "left").drop(*side)
 

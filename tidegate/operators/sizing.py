@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidegate.functions.compare import quoted
 from tidegate.session import cut_lineage
 
-# Rows a measured frame may hold to be broadcast. The frames passed here hold a
-# few key columns, so this is some tens of megabytes at most.
-BROADCAST_ROWS = 500_000
+# Bytes a measured frame may take to be broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+class Settled(NamedTuple):
+    frame: DataFrame
+    rows: int
 
 
-def measured(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a narrow frame once, and hint a broadcast only if its row count allows.
+def settle(df: DataFrame, bound: int = BROADCAST_BYTES) -> Settled:
+    """Compute a narrow frame once, reliably, and measure it.
 
-    Beyond the bound the frame is returned without a hint and joins by shuffle.
+    The frame carries a broadcast hint only if its measured size is within the bound;
+    beyond it, joins with it shuffle. One job computes, a second one measures the copy.
     """
     kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.count() <= bound else kept
+    texts = [quoted(f.name) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    width = F.lit(16 * len(df.columns))
+    for text in texts:
+        width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    rows, size = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return Settled(F.broadcast(kept) if size <= bound else kept, rows)

@@ -281,7 +281,9 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame) -> None
         return
 
     pick = "first" if contract.strategy == "merge_insert" else "latest"
-    chosen = from_one_file(clean, contract.keys, [FILE_TIME, FILE_NAME], pick)
+    chosen = clean
+    if clean.select(FILE_TIME, FILE_NAME).distinct().limit(2).count() > 1:
+        chosen = from_one_file(clean, contract.keys, [FILE_TIME, FILE_NAME], pick)
     offered = chosen.select(*[quoted(c) for c in columns], *([quoted(PRESENT)] if contract.absent == "keep" else []))
     options = {"on_duplicate": contract.on_duplicate}
     if contract.on_duplicate in ("latest", "first"):
