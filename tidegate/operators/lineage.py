@@ -19,6 +19,9 @@ from tidegate.session import cut_lineage
 
 NODE_KINDS = ("model", "snapshot", "source")
 
+# A frontier is wide while the nodes seen so far are at most this many times as many.
+_WIDE_FRONTIER = 8
+
 
 def edges(nodes: DataFrame) -> DataFrame:
     """(parent, child) pairs of a node table (unique_id, resource_type, depends_on)."""
@@ -42,18 +45,24 @@ def closure(edge_table: DataFrame, starts: DataFrame) -> DataFrame:
     """All nodes reachable from `starts` (column node), the starts included.
 
     Ends on cyclic graphs too: a node seen once never enters the frontier again.
+    `edge_table` is read once per round; pass a written table.
     """
-    frontier = settle(starts.select("node").distinct()).frame
-    seen = [frontier]
+    frontier = settle(starts.select("node").distinct())
+    seen, n_seen = [frontier.frame], frontier.rows
     while True:
-        reached = settle(_children(edge_table, frontier))
-        # Semi first: with a small frontier the nodes seen so far need no shuffle.
-        again = _together(seen).join(reached.frame, "node", "left_semi")
-        found = settle(reached.frame.join(again, "node", "left_anti"))
-        if not found.rows:
+        reached = _children(edge_table, frontier.frame)
+        if n_seen > _WIDE_FRONTIER * frontier.rows:
+            # Few new nodes against many known ones: settle the few first, so that
+            # the known ones need no shuffle.
+            reached = settle(reached).frame
+            known = _together(seen).join(reached, "node", "left_semi")
+        else:
+            known = _together(seen)
+        frontier = settle(reached.join(known, "node", "left_anti"))
+        if not frontier.rows:
             return _together(seen)
-        frontier = found.frame
-        seen.append(frontier)
+        seen.append(frontier.frame)
+        n_seen += frontier.rows
         if len(seen) > 16:
             seen = [cut_lineage(_together(seen))]
 
@@ -65,16 +74,17 @@ def levels(edge_table: DataFrame, starts: DataFrame) -> DataFrame:
     level do not depend on each other. Nodes on a cycle, or behind one, have no
     order: their level is NULL.
     """
-    inside = closure(edge_table, starts)
-    links = cut_lineage(edge_table.join(inside.withColumnRenamed("node", "parent"), "parent", "left_semi"))
-    waiting, done, level = cut_lineage(inside), [], 0
+    waiting = closure(edge_table, starts)
+    links = cut_lineage(edge_table.join(waiting.withColumnRenamed("node", "parent"), "parent", "left_semi"))
+    done, level = [], 0
     while True:
-        blocked = _children(links, waiting)
-        ready = settle(waiting.join(blocked, "node", "left_anti"))
-        if not ready.rows:
+        blocked = _children(links, waiting).withColumn("blocked", F.lit(True))
+        judged = cut_lineage(waiting.join(blocked, "node", "left"))
+        ready = judged.where(F.col("blocked").isNull()).select("node")
+        if ready.isEmpty():
             break
-        done.append(ready.frame.select("node", F.lit(level).alias("level")))
-        waiting = cut_lineage(waiting.join(ready.frame, "node", "left_anti"))
+        done.append(ready.withColumn("level", F.lit(level)))
+        waiting = judged.where(F.col("blocked").isNotNull()).select("node")
         if level % 8 == 7:
             links = cut_lineage(links.join(waiting.withColumnRenamed("node", "parent"), "parent", "left_semi"))
             done = [cut_lineage(_together(done))]

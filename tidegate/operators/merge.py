@@ -9,6 +9,9 @@ target keys is partially aggregated before any shuffle, and Spark moves the semi
 join below it when the batch is small enough to broadcast.
 A full outer join would need one shuffle of the whole target for every batch, and
 cannot split a hot key.
+
+The incoming rows are read several times, narrow for all but one: pass a written table
+(staged rows), not a costly computation. The target is read twice, once for its keys.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import lineage
 from tidegate.plans.propagate import rebuild
 from tidegate.plans.registry import registered, table
-from tidegate.session import scratch_path
+from tidegate.session import cut_lineage, scratch_path
 
 
 def node_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,11 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.edges(node_table(spark, sf_dir))
 
 
+def _edge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges as a written table: every round of a traversal reads them."""
+    return cut_lineage(lineage_edges(spark, sf_dir))
+
+
 def _starts(spark: SparkSession, sf_dir: str, condition: str = "TRUE") -> DataFrame:
     regions = table(spark, sf_dir, "region").where(condition)
     return regions.select(F.concat_ws("_", F.lit("region"), "r_regionkey").alias("node"))
@@ -77,7 +82,7 @@ _REACH = """
     f"""WITH RECURSIVE {_REACH.format(edges=EDGES_SQL, condition="r_name = 'ASIA'")} SELECT node FROM reach""",
 )
 def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineage.closure(lineage_edges(spark, sf_dir), _starts(spark, sf_dir, "r_name = 'ASIA'"))
+    return lineage.closure(_edge_table(spark, sf_dir), _starts(spark, sf_dir, "r_name = 'ASIA'"))
 
 
 @registered(
@@ -88,7 +93,7 @@ def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT node, max(level) AS level FROM path GROUP BY node""",
 )
 def lineage_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineage.levels(lineage_edges(spark, sf_dir), _starts(spark, sf_dir))
+    return lineage.levels(_edge_table(spark, sf_dir), _starts(spark, sf_dir))
 
 
 @registered(
@@ -108,7 +113,7 @@ def lineage_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = nations.select(F.concat_ws("_", F.lit("nation"), "n_nationkey").alias("node")).unionByName(
         poor.select(F.concat_ws("_", F.lit("customer"), "c_custkey").alias("node"))
     )
-    return lineage.impact(lineage_edges(spark, sf_dir), _starts(spark, sf_dir), failed)
+    return lineage.impact(_edge_table(spark, sf_dir), _starts(spark, sf_dir), failed)
 
 
 @registered(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the operators. AQE's skew handling splits hot keys on
 # the streamed side of the left joins used throughout; it is on by default in
@@ -58,7 +58,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tidegate/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint: survives the loss of executors, unlike a cached block."""
-    shared_folder(spark or df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Survives the loss of executors, unlike a cached block, and Spark knows the copy's
+    size when it plans what follows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
