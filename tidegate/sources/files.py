@@ -20,7 +20,10 @@ LISTING = T.StructType(
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
-    """(path, file_name, length, modified) of every file; column pruning leaves contents alone."""
+    """(path, file_name, length, modified) of every file; column pruning leaves contents alone.
+
+    Files of zero bytes do not appear: Spark's file sources pass over them.
+    """
     listed = spark.read.format("binaryFile").options(**options).load(paths if isinstance(paths, str) else list(paths))
     return listed.select(
         "path",
