@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.compare import any_null, keys_equal, quoted
+from tidegate.functions.compare import any_null, apart, keys_equal, quoted
 
 _ROW = "__row"
 COPIES = "__copies"
@@ -57,6 +57,10 @@ def from_one_file(df: DataFrame, keys: Sequence[str], file_order: Sequence[str],
     order = F.struct(*[quoted(o) for o in file_order])
     chosen = F.max(order) if pick == "latest" else F.min(order)
     keyed = df.where(~any_null(keys))
-    winners = keyed.groupBy(*[quoted(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(chosen.alias("__file"))
+    winners = (
+        keyed.groupBy(*[quoted(k) for k in keys])
+        .agg(chosen.alias("__file"))
+        .select(*[apart(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__file")
+    )
     same = keys_equal(keys, [f"__k{i}" for i in range(len(keys))]) & order.eqNullSafe(F.col("__file"))
     return keyed.join(winners, same, "left_semi").unionByName(df.where(any_null(keys)))

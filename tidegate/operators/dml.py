@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.compare import any_null, keys_equal, quoted
+from tidegate.functions.compare import any_null, apart, filter_join, keys_equal, quoted
 from tidegate.functions.names import key_list
 
 _UP = "__up_"
@@ -38,7 +38,9 @@ def update_from(
     keys = key_list(keys)
     if changes is None:
         changes = {c: new(c) for c in updates.columns if c not in keys}
-    side = updates.select(*[quoted(c).alias(_UP + c) for c in updates.columns], F.lit(True).alias(_UP + "hit"))
+    side = updates.select(
+        *[(apart(c) if c in keys else quoted(c)).alias(_UP + c) for c in updates.columns], F.lit(True).alias(_UP + "hit")
+    )
     joined = df.join(side, keys_equal(keys, [_UP + k for k in keys]), "left")
     hit = quoted(_UP + "hit").isNotNull()
     return joined.select(
@@ -66,10 +68,10 @@ def _key_set(doomed: DataFrame, keys: list[str]) -> DataFrame:
 def delete_matching(df: DataFrame, doomed: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Remove the rows whose key occurs in `doomed`. NULL keys never match."""
     keys = key_list(keys)
-    return df.join(_key_set(doomed, keys), keys, "left_anti").select(*[quoted(c) for c in df.columns])
+    return filter_join(df, _key_set(doomed, keys), keys, "left_anti")
 
 
 def matching(df: DataFrame, doomed: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """The rows `delete_matching` removes."""
     keys = key_list(keys)
-    return df.join(_key_set(doomed, keys), keys, "left_semi").select(*[quoted(c) for c in df.columns])
+    return filter_join(df, _key_set(doomed, keys), keys, "left_semi")

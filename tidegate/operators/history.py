@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.compare import any_null, data_columns, differs, keys_equal, quoted
+from tidegate.functions.compare import any_null, apart, data_columns, differs, keys_equal, quoted
 from tidegate.functions.marks import stamp
 from tidegate.functions.names import key_list
 from tidegate.operators.dedup import COPIES, one_per_key
@@ -42,7 +42,9 @@ def snapshot(history: DataFrame, current: DataFrame, keys: str | Sequence[str],
 
     closed = history.where(F.col(VALID_TO).isNotNull())
     opened = history.where(F.col(VALID_TO).isNull())
-    side = single.select(*[quoted(c).alias(_IN + c) for c in columns], F.lit(True).alias(_IN + "hit"))
+    side = single.select(
+        *[(apart(c) if c in keys else quoted(c)).alias(_IN + c) for c in columns], F.lit(True).alias(_IN + "hit")
+    )
     joined = opened.join(side, keys_equal(keys, [_IN + k for k in keys]), "left")
     changed = quoted(_IN + "hit").isNotNull() & differs(
         [(quoted(c), quoted(_IN + c)) for c in data_columns(columns, keys)]

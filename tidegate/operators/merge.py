@@ -3,15 +3,15 @@
 Plan of the update merges. The target is the streamed (left) side of a left join
 with the incoming rows, one per key. A small batch is broadcast by its size and
 the target is not shuffled at all; a large one is shuffled on both sides, and AQE
-can split a hot key on the left. Incoming rows without a counterpart are found by
+splits a hot key on the left. Incoming rows without a counterpart are found by
 an anti join against those target keys that occur in the batch; the distinct on the
 target keys is partially aggregated before any shuffle, and Spark moves the semi
 join below it when the batch is small enough to broadcast.
 A full outer join would need one shuffle of the whole target for every batch, and
 cannot split a hot key.
 
-The incoming rows are read several times, narrow for all but one: pass a written table
-(staged rows), not a costly computation. The target is read twice, once for its keys.
+The incoming rows are read several times: pass a written table (staged rows), not a
+costly computation. The target is read twice, once for its keys alone.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.compare import any_null, data_columns, differs, keys_equal, quoted
+from tidegate.functions.compare import any_null, apart, data_columns, differs, filter_join, keys_equal, quoted
 from tidegate.functions.names import key_list
 from tidegate.operators.dedup import COPIES, one_per_key
 
@@ -68,6 +68,7 @@ def merge(
     *,
     on_duplicate: str = "all",
     order_by: Sequence[Column | str] = (),
+    unique: bool = False,
     present: str | None = None,
     change_column: str | None = None,
 ) -> DataFrame:
@@ -82,6 +83,9 @@ def merge(
     always; "latest" and "first" choose by `order_by`, whose columns must be part of
     the incoming frame and are dropped unless the target has them.
 
+    `unique` vouches that no two incoming rows share a key (see `has_copies`), which
+    spares grouping the batch, and lets both joins read it from one shuffle.
+
     `present` names an incoming array column listing the columns a row's file really
     had; the others then keep their value on update.
 
@@ -104,7 +108,9 @@ def merge(
 
     keyed = incoming.where(~any_null(keys))
     loose = incoming.where(any_null(keys))
-    if on_duplicate in ("latest", "first"):
+    if unique:
+        single, offered, on_duplicate = keyed, keyed, "none"
+    elif on_duplicate in ("latest", "first"):
         single = one_per_key(keyed, keys, on_duplicate, order_by)
         offered = single.drop(COPIES)
     elif on_duplicate == "error":
@@ -131,18 +137,26 @@ def merge(
     return result.withColumnRenamed(_HIT, change_column) if change_column else result
 
 
-def _prefixed(df: DataFrame) -> DataFrame:
-    return df.select(*[quoted(c).alias(_IN + c) for c in df.columns])
+def has_copies(incoming: DataFrame, keys: str | Sequence[str]) -> bool:
+    """Do any two rows share a (non-NULL) key? One job over the key columns."""
+    keys = key_list(keys)
+    counted = incoming.where(~any_null(keys)).groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias(COPIES))
+    return not counted.where(F.col(COPIES) > 1).isEmpty()
+
+
+def _prefixed(df: DataFrame, grouped_by: list[str]) -> DataFrame:
+    return df.select(*[(apart(c) if c in grouped_by else quoted(c)).alias(_IN + c) for c in df.columns])
 
 
 def _present_keys(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct keys found on both sides."""
-    held = target.where(~any_null(keys)).select(*[quoted(k) for k in keys]).distinct()
-    return held.join(incoming.select(*[quoted(k) for k in keys]), keys, "left_semi")
+    names = [quoted(k) for k in keys]
+    held = target.where(~any_null(keys)).select(*names).distinct()
+    return held.join(incoming.select(*names).distinct(), keys, "left_semi")
 
 
 def _label_hits(target: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
-    marked = _prefixed(hits).withColumn(_IN + _HIT, F.lit(True))
+    marked = _prefixed(hits, keys).withColumn(_IN + _HIT, F.lit(True))
     return target.join(marked, keys_equal(keys, [_IN + k for k in keys]), "left").select(
         *[quoted(c) for c in target.columns],
         F.when(quoted(_IN + _HIT), F.lit("unchanged")).otherwise(F.lit("keep")).alias(_HIT),
@@ -153,7 +167,10 @@ def _inserts(
     target: DataFrame, offered: DataFrame, loose: DataFrame, keys: list[str], columns: list[str], strategy: str
 ) -> DataFrame:
     hits = _present_keys(target, offered, keys)
-    fresh = offered.join(hits, keys, "left_anti").select(*[quoted(c) for c in columns])
+    # Under the same names as in `_updates`, so that one shuffle can serve both joins.
+    side = _prefixed(offered, [])
+    fresh = filter_join(side, _prefixed(hits, []), [_IN + k for k in keys], "left_anti")
+    fresh = fresh.select(*[quoted(_IN + c).alias(c) for c in columns])
     rows = fresh.unionByName(loose.select(*[quoted(c) for c in columns]))
     left_out = [ROW_UPDATED] if strategy == "merge_date_rows" else []
     return rows.select(
@@ -173,8 +190,9 @@ def _updates(
     present: str | None,
     on_duplicate: str,
 ) -> DataFrame:
-    joined = target.join(_prefixed(single), keys_equal(keys, [_IN + k for k in keys]), "left")
-    matched = quoted(_IN + COPIES).isNotNull()
+    side = _prefixed(single, [] if on_duplicate == "none" else keys)
+    joined = target.join(side, keys_equal(keys, [_IN + k for k in keys]), "left")
+    matched = quoted(_IN + keys[0]).isNotNull()
     if on_duplicate == "all":
         joined = _refuse_copies(
             joined, F.coalesce(quoted(_IN + COPIES), F.lit(1)) > 1, "several incoming rows match one table row"

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.compare import any_null, keys_equal, quoted
+from tidegate.functions.compare import any_null, apart, keys_equal, quoted
 from tidegate.functions.names import key_list
 from tidegate.operators.dml import update_from
 from tidegate.operators.sizing import settle
@@ -89,7 +89,7 @@ def _flag_copies(df: DataFrame, rule: Unique, scope: list[str], flag: str, measu
         .groupBy(*[quoted(n) for n in names])
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") > 1)
-        .select(*[quoted(n).alias(f"{flag}{i}") for i, n in enumerate(names)], F.lit(True).alias(flag))
+        .select(*[apart(n).alias(f"{flag}{i}") for i, n in enumerate(names)], F.lit(True).alias(flag))
     )
     if measured:
         copies = settle(copies).frame
@@ -102,9 +102,9 @@ def _flag_orphans(df: DataFrame, rule: References, flag: str) -> DataFrame:
         rule.parent.where(quoted(rule.parent_column).isNotNull())
         .select(quoted(rule.parent_column).alias(f"{flag}0"))
         .distinct()
-        .withColumn(flag, F.lit(True))
+        .select(apart(f"{flag}0").alias(f"{flag}0"), F.lit(True).alias(flag))
     )
-    return df.join(known, quoted(rule.column) == F.col(f"{flag}0"), "left").drop(f"{flag}0")
+    return df.join(known, keys_equal([rule.column], [f"{flag}0"]), "left").drop(f"{flag}0")
 
 
 def mark(df: DataFrame, rules: Sequence[Rule], scope: Sequence[str] = (), measured: bool = False) -> DataFrame:

@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.contract import TableContract
-from tidegate.functions.compare import any_null, quoted
+from tidegate.functions.compare import any_null, filter_join, quoted
 from tidegate.functions.marks import stamp
 from tidegate.operators import ledger as book
 from tidegate.operators import quality
 from tidegate.operators.dedup import from_one_file
 from tidegate.operators.evolve import align
-from tidegate.operators.merge import load, merge
+from tidegate.operators.merge import has_copies, load, merge
 from tidegate.session import cut_lineage
 from tidegate.sources import tables
 from tidegate.sources.files import list_files
@@ -188,7 +188,7 @@ def ingest_review(
         )
     )
     attempts = waiting.select(F.col("file_name").alias(FILE_NAME), F.col("increment").alias(INCREMENT))
-    due = review.join(attempts, [FILE_NAME, INCREMENT], "left_semi")
+    due = filter_join(review, attempts, [FILE_NAME, INCREMENT], "left_semi")
     fixed = quality.requeue(due, fixes, fix_keys, increment="")
     failures = _test_and_load(store, contract, fixed, waiting.select(*book.ENTRY), batch_id, at)
     return Outcome(None, failures, book.lookup(store.ledger(), waiting))
@@ -270,7 +270,7 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame) -> None
     if contract.strategy == "insert":
         # Rows of this very load may be there already if the ledger was not reached.
         before = target.where(F.col("_datetime_added").isin(_load_times(clean))).select(HASH).distinct()
-        fresh = rows.join(before, HASH, "left_anti")
+        fresh = filter_join(rows, before, [HASH], "left_anti")
         tables.append(spark, name, align(fresh, target.schema))
         return
     if contract.strategy == "replace":
@@ -285,7 +285,7 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame) -> None
     if clean.select(FILE_TIME, FILE_NAME).distinct().limit(2).count() > 1:
         chosen = from_one_file(clean, contract.keys, [FILE_TIME, FILE_NAME], pick)
     offered = chosen.select(*[quoted(c) for c in columns], *([quoted(PRESENT)] if contract.absent == "keep" else []))
-    options = {"on_duplicate": contract.on_duplicate}
+    options = {"on_duplicate": contract.on_duplicate, "unique": not has_copies(offered, contract.keys)}
     if contract.on_duplicate in ("latest", "first"):
         offered = offered.withColumns({FILE_TIME: chosen[FILE_TIME], FILE_NAME: chosen[FILE_NAME]})
         options["order_by"] = [FILE_TIME, FILE_NAME]

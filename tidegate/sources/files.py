@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.compare import filter_join
+
 # The layout Spark's binaryFile source has.
 LISTING = T.StructType(
     [
@@ -36,4 +38,4 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], **options) -> Da
 def missing_files(claimed: DataFrame, present: DataFrame, on: str | Sequence[str] = "file_name") -> DataFrame:
     """Claimed files that no listing shows. Pass the union of the places a file may be."""
     keys = [on] if isinstance(on, str) else list(on)
-    return claimed.join(present.select(*keys).distinct(), keys, "left_anti")
+    return filter_join(claimed, present.select(*keys).distinct(), keys, "left_anti")

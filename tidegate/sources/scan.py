@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.contract import ContractError, TableContract
-from tidegate.functions.compare import quoted
+from tidegate.functions.compare import filter_join, quoted
 from tidegate.functions.marks import file_hash
 from tidegate.functions.names import clean_label
 from tidegate.operators.evolve import align
@@ -137,4 +137,4 @@ def proceeding(staged: DataFrame, contract: TableContract) -> tuple[DataFrame, D
         return staged, None
     judged = staged.groupBy(FILE_NAME).agg(F.coalesce(contract.proceed, F.lit(False)).alias("__go"))
     stopped = judged.where(~F.col("__go")).select(FILE_NAME)
-    return staged.join(stopped, FILE_NAME, "left_anti"), stopped
+    return filter_join(staged, stopped, [FILE_NAME], "left_anti"), stopped
