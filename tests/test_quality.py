@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,7 +95,7 @@ def test_drift_and_align(spark):
         ("more", "extra", "int", None),
     ]
     frame = spark.createDataFrame([(None, None, "1.25", 3, 4), (None, None, "x", 3, 4)], have)
-    assert [r.close for r in align(frame, want).collect()] == [__import__("decimal").Decimal("1.25"), None]
+    assert [r.close for r in align(frame, want).collect()] == [Decimal("1.25"), None]
     assert align(frame, want).schema.fieldNames() == want.fieldNames()
     assert add_columns(frame, want).columns == ["DATE", "open", "close", "more", "_hash", "volume", "isGood"]
     assert {r.table_rows for r in drift_report(frame, want).collect()} == {2}
