@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import exact
+from tidegate.llm import decontam, exact
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +41,42 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
 )
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_registered(
+    r"""
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ), b AS (
+        SELECT item_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark
+    ), win AS (
+        SELECT DISTINCT item_id, array_to_string(w[i : i + 9], ' ') AS words, least(len(w), 10) AS n
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+    ), lengths AS (
+        SELECT DISTINCT n FROM win
+    ), places AS (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n
+    ), hit AS (
+        SELECT doc_id, i, p.n, item_id
+        FROM places p JOIN win ON win.n = p.n AND win.words = array_to_string(w[i : i + p.n - 1], ' ')
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT k) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id
+    ), items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+    """
+)
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.contamination(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
