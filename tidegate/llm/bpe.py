@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ KEPT_WORDS = 1 << 18
 KEPT_LENGTH = 48
 SLICE_CHARS = 1 << 16
 # White space as Unicode defines it.
-_SPACES = "\t-\r \x85\xa0  -     　"
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_symbols() -> list[str]:
@@ -40,6 +41,25 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(0x100)]
 
 
+@cache
+def _category(kind: str) -> str:
+    """The characters of a Unicode category as the ranges of a regular expression's set."""
+    inside = [unicodedata.category(chr(i)).startswith(kind) for i in range(0x110000)]
+    edges = [i for i in range(0x110001) if (i < 0x110000 and inside[i]) != (i > 0 and inside[i - 1])]
+    return "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def _pattern(text: str) -> re.Pattern[str]:
+    """A tokenizer file's pattern with its classes spelled out, as this language's regular expression.
+
+    Letters and numbers are those of the interpreter's Unicode tables; characters that a later
+    Unicode version has added count as neither.
+    """
+    for inner, outer in ((r"\p{L}", _category("L")), (r"\p{N}", _category("N")), (r"\s", _SPACES)):
+        text = text.replace(inner, outer)
+    return re.compile(text)
+
+
 class Vocabulary:
     """What a tokenizer file of the byte-level BPE kind with word ends says."""
 
@@ -61,7 +81,7 @@ class Vocabulary:
         splits = held["pre_tokenizer"]["pretokenizers"]
         if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in splits] != ["Split", "ByteLevel"]:
             raise ValueError("unknown normalizer or pre-tokenizer")
-        self.word = splits[0]["pattern"]["Regex"].replace(r"\s", _SPACES)
+        self.word = splits[0]["pattern"]["Regex"]
         self.lookahead = sufficient_lookahead(pairs)
 
 
@@ -196,9 +216,9 @@ class Encoder(dict):
         super().__init__()
         self.vocabulary = vocabulary
         self.symbols = byte_symbols()
-        self.words = regex.compile(vocabulary.word)
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")" if vocabulary.special else "($^)")
-        self.gap = regex.compile(f"[{_SPACES}]")
+        self.words = _pattern(vocabulary.word)
+        self.specials = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")")
+        self.gap = re.compile(f"[{_SPACES}]")
 
     def _encoded(self, word: str) -> Iterator[int]:
         ids, transducer = self.vocabulary.ids, WordTransducer(self.vocabulary)

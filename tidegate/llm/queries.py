@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import decontam, exact
+from tidegate.llm import bpe, decontam, exact, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,3 +81,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return decontam.contamination(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@_registered()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokens.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_registered()
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json"))
