@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontam, exact, tokens
+from tidegate.llm import bpe, decontam, exact, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,3 +93,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_registered()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return toxicity.scored(docs, docs, labels).drop("text")
