@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontam, exact, tokens, toxicity
+from tidegate.llm import bpe, decontam, exact, minhash, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,3 +100,38 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     labels = _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     return toxicity.scored(docs, docs, labels).drop("text")
+
+
+@_registered(
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+    ), n AS (
+        SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+    ), p AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+        FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+    ), l AS (
+        SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+        WHERE 100 * shared >= 85 * (nx.n + ny.n - shared)
+    ), e AS (
+        SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+    ), reach AS (
+        SELECT doc_id, doc_id AS root FROM d
+        UNION
+        SELECT e.y, root FROM reach JOIN e ON e.x = reach.doc_id WHERE root < e.y
+    ), c AS (
+        SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM c LEFT JOIN n USING (doc_id)
+    """
+)
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
