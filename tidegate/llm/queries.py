@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontam, exact, minhash, tokens, toxicity
+from tidegate.llm import bpe, decontam, exact, minhash, pii, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,3 +135,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
+
+
+@_registered()
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents", "doc_id", "text"))
