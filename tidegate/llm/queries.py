@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontam, exact, minhash, pii, tokens, toxicity
+from tidegate.llm import bpe, decontam, exact, lm, minhash, pii, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,3 +140,9 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered()
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_registered()
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return lm.likelihoods(docs, public_tokenizers.path("piece_bpe_32k.model"))
