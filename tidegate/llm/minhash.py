@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -262,13 +262,36 @@ def near_duplicates(
 
 
 def _links(docs, profile, percent, id_column, text_column, width, rows, bands) -> DataFrame | None:
-    """Confirmed links (u, v) between classes, enough to connect all that are connected."""
-    count = rows * bands
+    """Confirmed links between the documents' classes."""
     classes = cut_lineage(
         profile.where("n > 0")
         .groupBy("digest")
         .agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("id", "mark")).alias("rep"))
     )
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """The sets from one text of each class."""
+        chosen = classes.join(nodes, "digest").select(
+            "digest", F.col("rep.id").alias("rid"), F.col("rep.mark").alias("rmark")
+        )
+        wanted = settle(chosen).frame
+        text = F.coalesce(quoted(text_column).cast("string"), F.lit(""))
+        texts = docs.select(quoted(id_column).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+        texts = texts.join(wanted, F.col("id").eqNullSafe(F.col("rid")) & (F.col("mark") == F.col("rmark")))
+        return _sets(texts, width).dropDuplicates(["digest"])
+
+    return links_between(classes.drop("rep"), sets_of, percent, rows, bands)
+
+
+def links_between(
+    classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, rows: int, bands: int
+) -> DataFrame | None:
+    """Confirmed links (u, v) between classes, enough to connect all that are connected.
+
+    `classes` holds digest, n and signature once per class; `sets_of` gives digest, n and
+    shingles for a frame of digests. None if no two classes share a bucket.
+    """
+    count = rows * bands
     keys = F.array(*[
         F.xxhash64(F.lit(i), F.expr(f"substring(signature, {4 * rows * i + 1}, {4 * rows})")) for i in range(bands)
     ])
@@ -282,17 +305,11 @@ def _links(docs, profile, percent, id_column, text_column, width, rows, bands) -
     )
     if pairs.isEmpty():
         return None
-    nodes = members.select("digest").distinct()
+    nodes = cut_lineage(members.select("digest").distinct())
     held = cut_lineage(classes.join(nodes, "digest"))
+    sets = cut_lineage(sets_of(nodes))
 
-    # The sets of the classes in buckets, from one text of each class.
-    wanted = settle(held.select("digest", F.col("rep.id").alias("rid"), F.col("rep.mark").alias("rmark"))).frame
-    text = F.coalesce(quoted(text_column).cast("string"), F.lit(""))
-    texts = docs.select(quoted(id_column).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    chosen = texts.join(wanted, F.col("id").eqNullSafe(F.col("rid")) & (F.col("mark") == F.col("rmark")))
-    sets = cut_lineage(_sets(chosen, width).dropDuplicates(["digest"]))
-
-    screened = cut_lineage(_screened(pairs, held.drop("rep"), percent, count))
+    screened = cut_lineage(_screened(pairs, held, percent, count))
     links = cut_lineage(_confirmed(screened, sets, percent))
     stars = components(links)
     rooted = cut_lineage(
@@ -307,5 +324,14 @@ def _links(docs, profile, percent, id_column, text_column, width, rows, bands) -
     if open_nodes.isEmpty():
         return links
     crossing = cut_lineage(_prefix_pairs(sets.join(open_nodes, "digest"), percent))
-    more = _confirmed(cut_lineage(_screened(crossing, held.drop("rep"), percent, count)), sets, percent)
+    more = _confirmed(cut_lineage(_screened(crossing, held, percent, count)), sets, percent)
     return links.unionByName(more)
+
+
+def drop_near_copies(
+    docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows that `near_duplicates` keeps, with all their columns; rows without an id stay."""
+    found = near_duplicates(docs, percent, id_column, text_column)
+    bad = settle(found.where("not kept").select(F.col(id_column).alias("__bad")).dropna().distinct()).frame
+    return docs.join(bad, quoted(id_column) == F.col("__bad"), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontam, exact, lm, minhash, pii, tokens, toxicity
+from tidegate.llm import bpe, decontam, exact, html, lines, lm, minhash, pii, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,3 +146,13 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return lm.likelihoods(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_registered()
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@_registered()
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_duplicate_lines(_table(spark, sf_dir, "documents", "doc_id", "text"))

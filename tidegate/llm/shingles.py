@@ -105,6 +105,28 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(rolled(word_hashes(text), width))
 
 
+def char_shingles(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `width` characters of each line, in order, and their number per line.
+
+    Lines hold no line break; lines shorter than `width` have none.
+    """
+    lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    counts = np.maximum(lengths - width + 1, 0)
+    codes = np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(_U64)
+    if not counts.sum():
+        return np.empty(0, dtype=_U64), counts
+    with np.errstate(over="ignore"):
+        rolling = np.zeros(len(codes) - width + 1, dtype=_U64)
+        for i in range(width):
+            rolling *= _U64(_BASE)
+            rolling += codes[i : i + len(rolling)]
+        rolling = mixed(rolling)
+    starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
+    first = np.cumsum(counts) - counts
+    at = np.repeat(starts - first, counts) + np.arange(counts.sum())
+    return rolling[at], counts
+
+
 def overlap(left: np.ndarray, right: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(left) > len(right):
