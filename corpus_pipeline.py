@@ -2,22 +2,50 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm import exact
+from tidegate.llm import bpe, decontam, exact, minhash, toxicity
 from tidegate.session import cut_lineage
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain rejects go; it is trained on the labelled documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    scored = toxicity.scored(docs, docs.select("doc_id", "text"), labels)
+    return scored.where(~F.col("rejected")).select(docs.columns)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact.drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five words, 0.8 or more) stays."""
+    return minhash.drop_near_copies(docs, percent=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, digests of the identifiers and of what they decode to, and the identifiers."""
+    return bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
 STAGES = [
+    ("toxicity", toxicity_filter),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("bpe", tokenize),
 ]
 
-# Toxicity is a trained model, which SQL cannot express.
+# Toxicity is a trained model, which SQL cannot express; the stages are tested one by one.
 ORACLE_SQL = None
 
 
