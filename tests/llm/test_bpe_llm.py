@@ -36,7 +36,7 @@ def test_random_texts(vocabulary, library):
         text = "".join(random_.choice("ab'sthe éÉΣς日🎉\x00\t\n12inerz<|>.,!") for _ in range(random_.randint(0, 200)))
         text = text.replace("<|>", "<|endoftext|>")
         want = library.encode(text, add_special_tokens=False).ids
-        assert [i for run in encoder.runs(text) for i in run] == want
+        assert [i for runs in encoder.runs(text) for run in runs for i in run.ids] == want
 
 
 def test_streamed_words_equal_whole_words(vocabulary):

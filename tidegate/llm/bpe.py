@@ -17,9 +17,11 @@ import json
 import re
 import unicodedata
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,23 +43,26 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(0x100)]
 
 
-@cache
-def _category(kind: str) -> str:
-    """The characters of a Unicode category as the ranges of a regular expression's set."""
-    inside = [unicodedata.category(chr(i)).startswith(kind) for i in range(0x110000)]
-    edges = [i for i in range(0x110001) if (i < 0x110000 and inside[i]) != (i > 0 and inside[i - 1])]
+def _category(kind: str, end: int) -> str:
+    """The characters below `end` of a Unicode category as the ranges of a regular expression's set."""
+    inside = [unicodedata.category(chr(i)).startswith(kind) for i in range(end)]
+    edges = [i for i in range(end + 1) if (i < end and inside[i]) != (i > 0 and inside[i - 1])]
     return "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _pattern(text: str) -> re.Pattern[str]:
-    """A tokenizer file's pattern with its classes spelled out, as this language's regular expression.
+# The word pattern of this kind of file (a fixed value), and an equivalent with the commonest case first.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SAME = "[{letter}]+|'(?:s|t|re|ve|m|ll|d)|[{number}]|[^{space}{letter}{number}]+"
+
+
+@cache
+def _words(end: int) -> re.Pattern[str]:
+    """The pattern for texts whose characters are all below `end`.
 
     Letters and numbers are those of the interpreter's Unicode tables; characters that a later
     Unicode version has added count as neither.
     """
-    for inner, outer in ((r"\p{L}", _category("L")), (r"\p{N}", _category("N")), (r"\s", _SPACES)):
-        text = text.replace(inner, outer)
-    return re.compile(text)
+    return re.compile(_SAME.format(letter=_category("L", end), number=_category("N", end), space=_SPACES))
 
 
 class Vocabulary:
@@ -81,7 +86,8 @@ class Vocabulary:
         splits = held["pre_tokenizer"]["pretokenizers"]
         if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in splits] != ["Split", "ByteLevel"]:
             raise ValueError("unknown normalizer or pre-tokenizer")
-        self.word = splits[0]["pattern"]["Regex"]
+        if splits[0]["pattern"]["Regex"] != WORD:
+            raise ValueError("unknown word pattern")
         self.lookahead = sufficient_lookahead(pairs)
 
 
@@ -138,9 +144,12 @@ class WordTransducer:
         self.room = 4 * vocabulary.lookahead
         self.buffer: list[str] = []
 
-    def feed(self, symbols: Iterable[str]) -> Iterator[str]:
-        for symbol in symbols:
-            self.buffer.append(symbol)
+    def feed(self, symbols: Sequence[str]) -> Iterator[str]:
+        at = 0
+        while at < len(symbols):
+            more = symbols[at : at + self.room + 1 - len(self.buffer)]
+            self.buffer.extend(more)
+            at += len(more)
             if len(self.buffer) > self.room:
                 yield from self._stable()
 
@@ -209,33 +218,47 @@ class TextDecoder:
             yield "�"
 
 
+class Run(NamedTuple):
+    """A word's identifiers, and how they and their tokens are written."""
+
+    ids: tuple[int, ...]
+    written: bytes
+    decoded: bytes
+
+
 class Encoder(dict):
-    """Word -> its identifiers; computes what it lacks and stays below KEPT_WORDS entries."""
+    """Word -> its run; computes what it lacks. A full table becomes the older half of what is kept."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
         self.symbols = byte_symbols()
-        self.words = _pattern(vocabulary.word)
+        self.plain, self.wide = _words(0x10000), _words(0x110000)
+        self.older: dict[str, Run] = {}
         self.specials = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")")
         self.gap = re.compile(f"[{_SPACES}]")
 
+    def _run(self, ids: Iterable[int]) -> Run:
+        ids, tokens = tuple(ids), self.vocabulary.tokens
+        return Run(ids, " ".join(map(str, ids)).encode(), " ".join([tokens[i] for i in ids]).encode("utf-8"))
+
     def _encoded(self, word: str) -> Iterator[int]:
         ids, transducer = self.vocabulary.ids, WordTransducer(self.vocabulary)
         for at in range(0, len(word), SLICE_CHARS):
             data = word[at : at + SLICE_CHARS].encode("utf-8", "surrogatepass")
-            for token in transducer.feed(self.symbols[b] for b in data):
+            for token in transducer.feed([self.symbols[b] for b in data]):
                 yield ids[token]
         for token in transducer.finish():
             yield ids[token]
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self._encoded(word))
+    def __missing__(self, word: str) -> Run:
+        run = self.older.get(word) or self._run(self._encoded(word))
         if len(word) <= KEPT_LENGTH:
             if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[word] = run
+        return run
 
     def _slices(self, text: str) -> Iterator[str]:
         """The text in pieces that end before white space, where no word and no character goes on."""
@@ -248,42 +271,25 @@ class Encoder(dict):
             at = found.start()
         yield text[at:]
 
-    def _words(self, part: str) -> Iterator[str]:
-        for piece in self._slices(part):
-            if not piece.isascii():
-                piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
-            for found in self.words.finditer(piece.lower()):
-                yield found.group()
-
-    def runs(self, text: str | None) -> Iterator[tuple[int, ...]]:
-        """Identifiers word by word; strings of special tokens stand for those tokens."""
+    def runs(self, text: str | None) -> Iterator[list[Run]]:
+        """The runs of the text, slice by slice; strings of special tokens stand for those tokens."""
         if not text:
             return
         for i, part in enumerate(self.specials.split(text) if self.vocabulary.special else [text]):
             if i % 2:
-                yield (self.vocabulary.special[part],)
-            elif part:
-                yield from map(self.__getitem__, self._words(part))
-
-
-class Digests(dict):
-    """Identifiers of a word -> how they are written and what they decode to."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.tokens = vocabulary.tokens
-
-    def __missing__(self, ids: tuple[int, ...]) -> tuple[bytes, bytes]:
-        written = " ".join(map(str, ids)).encode()
-        decoded = " ".join(self.tokens[i] for i in ids).encode("utf-8")
-        if len(ids) <= KEPT_LENGTH:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[ids] = (written, decoded)
-        return written, decoded
+                yield [self._run([self.vocabulary.special[part]])]
+                continue
+            for piece in self._slices(part):
+                words = self.plain  # its sets are looked up at once, those of the wide pattern range by range
+                if not piece.isascii():
+                    piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+                    words = self.wide if max(piece) > "\uffff" else words
+                found = [self[w] for w in words.findall(piece.lower())]
+                if found:
+                    yield found
 
 
-_WORKER: dict[int, tuple[Encoder, Digests]] = {}
+_WORKER: dict[int, Encoder] = {}
 
 _DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -312,20 +318,19 @@ def encoded(
         vocabulary = shared.value
         if id(vocabulary) not in _WORKER:
             _WORKER.clear()
-            _WORKER[id(vocabulary)] = (Encoder(vocabulary), Digests(vocabulary))
-        encoder, digests = _WORKER[id(vocabulary)]
+            _WORKER[id(vocabulary)] = Encoder(vocabulary)
+        encoder = _WORKER[id(vocabulary)]
         for batch in batches:
             counts, written, back, all_ids = [], [], [], []
             for text in batch.column(1).to_pylist():
                 n, ids, decoded, gap, kept = 0, hashlib.sha256(), hashlib.sha256(), b"", []
-                for run in encoder.runs(text):
-                    one, other = digests[run]
-                    ids.update(gap + one)
-                    decoded.update(gap + other)
+                for runs in encoder.runs(text):
+                    ids.update(gap + b" ".join([run[1] for run in runs]))
+                    decoded.update(gap + b" ".join([run[2] for run in runs]))
                     gap = b" "
-                    n += len(run)
+                    n += sum([len(run[0]) for run in runs])
                     if with_ids:
-                        kept.extend(run)
+                        kept.extend(chain.from_iterable([run[0] for run in runs]))
                 counts.append(n)
                 written.append(ids.hexdigest())
                 back.append(decoded.hexdigest())
