@@ -67,6 +67,8 @@ class TableContract:
             found.append(f"partition columns {stray} must be key columns")
         if self.absent not in ("null", "keep"):
             found.append(f"absent must be 'null' or 'keep', not {self.absent!r}")
+        if self.absent == "keep" and self.format == "json":
+            found.append("absent='keep' needs a header: JSON rows do not tell which columns a file lacks")
         return found
 
     @property

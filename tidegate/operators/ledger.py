@@ -252,18 +252,19 @@ class Renamed(NamedTuple):
 
 
 def rename_table(ledger: DataFrame, source: str, old: str, to: str) -> Renamed:
-    """The ledger after a table got a new name, and the old hash to new hash mapping."""
+    """The ledger after a table got a new name, and the old hash to new hash mapping.
+
+    Files that share a 32-bit hash cannot be told apart by the rows; they go on sharing one,
+    the smallest of their new ones.
+    """
     here = (F.col("source") == source) & (F.col("table") == old)
-    mapping = (
-        ledger.where(here)
-        .select("hash", file_hash(F.col("source"), F.lit(to), F.col("file_name")).alias("new_hash"))
-        .distinct()
-        .where(F.col("hash") != F.col("new_hash"))
-    )
-    state = update_where(
-        ledger, here, {"table": F.lit(to), "hash": file_hash(F.col("source"), F.lit(to), F.col("file_name"))}
+    fresh = file_hash(F.col("source"), F.lit(to), F.col("file_name"))
+    mapping = ledger.where(here).groupBy("hash").agg(F.min(fresh).alias("new_hash"))
+    moved = update_from(
+        ledger.where(here), mapping, "hash", {"table": F.lit(to), "hash": new("new_hash")}
     )
-    return Renamed(state, mapping)
+    state = ledger.where(~here | here.isNull()).unionByName(moved)
+    return Renamed(state, mapping.where(F.col("hash") != F.col("new_hash")))
 
 
 def rekey_rows(rows: DataFrame, mapping: DataFrame, column: str = "_hash") -> DataFrame:

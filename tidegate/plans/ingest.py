@@ -10,17 +10,17 @@ last step that finished.
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.contract import TableContract
-from tidegate.functions.compare import any_null, filter_join, quoted
+from tidegate.functions.compare import filter_join, quoted
 from tidegate.functions.marks import stamp
 from tidegate.operators import ledger as book
 from tidegate.operators import quality
@@ -29,7 +29,7 @@ from tidegate.operators.evolve import align
 from tidegate.operators.merge import has_copies, load, merge
 from tidegate.session import cut_lineage
 from tidegate.sources import tables
-from tidegate.sources.files import list_files
+from tidegate.sources.files import list_files, literal_path
 from tidegate.sources.headers import audit, violations
 from tidegate.sources.scan import (
     FILE_NAME,
@@ -45,8 +45,10 @@ from tidegate.sources.scan import (
 )
 
 CLEAN = "__clean"
-# Partitions one merge may switch singly; beyond, the table is published as a whole.
-PARTITION_SWITCHES = 5_000
+
+
+# The files of a staged batch.
+LISTED = "source string, table string, file_name string, path string, run string"
 
 
 @dataclass(frozen=True)
@@ -80,6 +82,11 @@ class Store:
             tables.evolve(self.spark, name, lacking)
         return tables.read(self.spark, name)
 
+    def expire(self, contract: TableContract, older_than: timedelta) -> int:
+        """Remove files of earlier states of the table and of the ledger; returns how many folders."""
+        roots = (self.table_root(contract), self.path("ledger"))
+        return sum(tables.expire(self.spark, root, older_than) for root in roots)
+
     def table_root(self, contract: TableContract) -> str:
         return self.path("source", contract.source, contract.table)
 
@@ -113,39 +120,53 @@ def ingest_batch(
 
     `batch_id` names this set of files. Running the same batch again, after a failure
     or a second delivery, changes nothing that is done: files whose entry reached
-    "inserted" are left out, unless `again` asks for them. `on_refused` is "raise" or
-    "skip" for files that do not fit the contract; skipped ones keep their entry at
-    its stage.
+    "inserted" are left out, unless `again` asks for them. A batch that was cut off after
+    staging goes on with exactly the files it had staged; files that came meanwhile wait
+    for the next call. `on_refused` is "raise" or "skip" for files that do not fit the
+    contract; skipped ones keep their entry at its stage. Two files of one name, in
+    different folders, are refused: the name is a file's identity in the ledger.
     """
     spark = store.spark
     files = list_files(spark, paths).select(
         F.lit(contract.source).alias("source"), F.lit(contract.table).alias("table"), "file_name", "path"
     )
+    _refuse_same_names(files)
     claimed = files.select(*book.FILE)
     store.save_ledger(book.register(store.ledger(), claimed, at).ledger)
-    if not again:
-        todo = book.unfinished(store.ledger(), claimed, "inserted")
-        files = files.join(todo.select(*book.FILE), list(book.FILE), "left_semi")
-    files = cut_lineage(files)
-    if files.isEmpty():
-        return Outcome(None, None, book.lookup(store.ledger(), claimed))
-
-    refused, accepted = None, files
-    if contract.has_header:
-        audited = cut_lineage(audit(files, contract))
-        refused = violations(audited)
-        if on_refused == "raise":
-            raise_refused(refused)
-        accepted = files.join(audited.where("refused"), "path", "left_anti")
-
-    staged_at = store.step("staged", contract, batch_id)
-    if not tables.is_complete(spark, staged_at):
+    refused = None
+
+    listed_at, staged_at = store.step("listed", contract, batch_id), store.step("staged", contract, batch_id)
+    resumed = tables.is_complete(spark, listed_at) and tables.is_complete(spark, staged_at)
+    if resumed:
+        accepted = spark.read.schema(LISTED).parquet(listed_at)
+        files = accepted.drop("run")
+    else:
+        if not again:
+            todo = book.unfinished(store.ledger(), claimed, "inserted")
+            files = files.join(todo.select(*book.FILE), list(book.FILE), "left_semi")
+        files = cut_lineage(files)
+        if files.isEmpty():
+            return Outcome(None, None, book.lookup(store.ledger(), claimed))
+        accepted = files
+        if contract.has_header:
+            audited = cut_lineage(audit(files, contract))
+            refused = violations(audited)
+            if on_refused == "raise":
+                raise_refused(refused)
+            accepted = files.join(audited.where("refused"), "path", "left_anti")
+        # The run tells this set of files apart from others that had the same batch id.
+        accepted = accepted.select("source", "table", "file_name", "path", F.lit(uuid.uuid4().hex[:12]).alias("run"))
+        accepted.write.mode("overwrite").parquet(listed_at)
+        accepted = spark.read.schema(LISTED).parquet(listed_at)
         if contract.has_header:
             rows = scan_audited(spark, audited, contract)
         else:
-            rows = scan(spark, [r.path for r in accepted.select("path").toLocalIterator()], contract)
+            # Spark's file index holds these names on the driver in any case.
+            rows = scan(spark, [literal_path(r.path) for r in accepted.select("path").toLocalIterator()], contract)
         staged_rows(rows, contract).write.mode("overwrite").parquet(staged_at)
     staged = spark.read.schema(_staged_schema(contract)).parquet(staged_at)
+    first = accepted.select("run").first()
+    run = f"{batch_id}.{first.run}" if first else batch_id
 
     staged, stopped = proceeding(staged, contract)
     if stopped is not None:
@@ -162,10 +183,20 @@ def ingest_batch(
     )
     store.save_ledger(book.advance(store.ledger(), entries, ["archived", "staged"], at, rows_read=True))
 
-    failures = _test_and_load(store, contract, staged, entries, batch_id, at)
+    failures = _test_and_load(store, contract, staged, entries, run, at)
+    tables.remove_folder(spark, staged_at)
+    tables.remove_folder(spark, listed_at)
     return Outcome(refused, failures, book.lookup(store.ledger(), claimed))
 
 
+def _refuse_same_names(files: DataFrame) -> None:
+    again = files.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    some = again.orderBy("file_name").limit(20).collect()
+    if some:
+        names = [r.file_name for r in some]
+        raise ValueError(f"{again.count()} file names occur more than once in the batch: {names}")
+
+
 def ingest_review(
     store: Store,
     contract: TableContract,
@@ -190,7 +221,10 @@ def ingest_review(
     attempts = waiting.select(F.col("file_name").alias(FILE_NAME), F.col("increment").alias(INCREMENT))
     due = filter_join(review, attempts, [FILE_NAME, INCREMENT], "left_semi")
     fixed = quality.requeue(due, fixes, fix_keys, increment="")
-    failures = _test_and_load(store, contract, fixed, waiting.select(*book.ENTRY), batch_id, at)
+    # The attempts told apart: a second review under one id is another run.
+    mark = waiting.agg(F.coalesce(F.bit_xor(F.xxhash64(*book.ENTRY)), F.lit(0))).first()[0]
+    run = f"{batch_id}.review-{mark & 0xFFFFFFFFFFFF:012x}"
+    failures = _test_and_load(store, contract, fixed, waiting.select(*book.ENTRY), run, at)
     return Outcome(None, failures, book.lookup(store.ledger(), waiting))
 
 
@@ -205,13 +239,16 @@ def _as_entries(staged: DataFrame, contract: TableContract, *more: str) -> DataF
 
 
 def _test_and_load(
-    store: Store, contract: TableContract, staged: DataFrame, entries: DataFrame, batch_id: str, at: datetime
+    store: Store, contract: TableContract, staged: DataFrame, entries: DataFrame, run: str, at: datetime
 ) -> DataFrame:
-    """Mark, quarantine, load and complete; returns the failures by file and rule."""
+    """Mark, quarantine, load and complete; returns the failures by file and rule.
+
+    `run` names these rows: a repeat of the run goes on with what it has written.
+    """
     spark = store.spark
-    marked_at = store.step("marked", contract, batch_id)
+    marked_at = store.step("marked", contract, run)
     if not tables.is_complete(spark, marked_at):
-        marked = quality.mark(staged, contract.rules, scope=(HASH, INCREMENT), measured=True)
+        marked = quality.mark(staged, contract.rules, scope=(FILE_NAME, INCREMENT), measured=True)
         # The load time is fixed here, so that a repeated load offers the same rows.
         dated = marked.withColumns({"_datetime_added": stamp(at), CLEAN: F.size(quality.FAILED) == 0})
         dated.write.mode("overwrite").partitionBy(CLEAN).parquet(marked_at)
@@ -221,17 +258,16 @@ def _test_and_load(
     counts = failing.groupBy(FILE_NAME, INCREMENT).agg(F.count(F.lit(1)).alias("rows_failed"))
 
     failing.withColumn(INCREMENT, F.col(INCREMENT) + 1).write.mode("overwrite").parquet(
-        store.step("review", contract, batch_id)
+        store.step("review", contract, run)
     )
     state = book.advance(store.ledger(), entries, "cleaned", at)
     reviews = book.review_entries(_as_entries(counts, contract, "rows_failed"), at)
     store.save_ledger(merge(state, reviews, list(book.ENTRY), "merge_insert"))
 
     clean = marked.where(F.col(CLEAN)).drop(CLEAN, quality.FAILED)
-    _load_table(store, contract, clean)
+    _load_table(store, contract, clean, run)
     store.save_ledger(book.advance(store.ledger(), entries, ["inserted", "completed"], at))
-    # The staged copies go once the entries say so; a crash in between leaves them behind.
-    tables.remove_folder(spark, store.step("staged", contract, batch_id))
+    # The copies go once the entries say so; a crash in between leaves them behind.
     tables.remove_folder(spark, marked_at)
     return failures
 
@@ -260,7 +296,7 @@ def _marked_schema(contract: TableContract) -> T.StructType:
     )
 
 
-def _load_table(store: Store, contract: TableContract, clean: DataFrame) -> None:
+def _load_table(store: Store, contract: TableContract, clean: DataFrame, run: str) -> None:
     spark, name = store.spark, store.table_name(contract)
     target = store.table(contract)
     if clean.isEmpty():
@@ -268,12 +304,12 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame) -> None
     columns = [c for c in clean.columns if c in target.columns]
     rows = clean.select(*[quoted(c) for c in columns])
     if contract.strategy == "insert":
-        # Rows of this very load may be there already if the ledger was not reached.
-        before = target.where(F.col("_datetime_added").isin(_load_times(clean))).select(HASH).distinct()
-        fresh = filter_join(rows, before, [HASH], "left_anti")
-        tables.append(spark, name, align(fresh, target.schema))
+        tables.append(spark, name, align(rows, target.schema), load=run)
         return
     if contract.strategy == "replace":
+        if not clean.where(F.col(INCREMENT) > 0).isEmpty():  # corrected rows belong to the load they came with
+            tables.append(spark, name, align(rows, target.schema), load=run)
+            return
         last = clean.agg(F.max(F.struct(FILE_TIME, FILE_NAME)).alias("f")).first().f
         only = clean.where((F.col(FILE_TIME) == F.lit(last[FILE_TIME])) & (F.col(FILE_NAME) == F.lit(last[FILE_NAME])))
         only = only.select(*[quoted(c) for c in columns])
@@ -292,35 +328,33 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame) -> None
     if contract.absent == "keep":
         options["present"] = PRESENT
 
-    touched = _touched_partitions(contract, clean)
-    if touched is None:
+    if not contract.partition_by:
         state = load(target, offered, contract.strategy, contract.keys, **options)
         tables.publish(spark, name, state, store.table_root(contract))
         return
-    inside = F.lit(False)
-    for row in touched:
-        same = F.lit(True)
-        for p in contract.partition_by:
-            same = same & (quoted(p) == F.lit(row[p]))
-        inside = inside | same
-    state = load(target.where(inside), offered, contract.strategy, contract.keys, **options)
-    tables.publish_partitions(spark, name, state, store.table_root(contract), contract.partition_by, touched)
+    state = load(_touched(target, offered, contract), offered, contract.strategy, contract.keys, **options)
+    tables.publish_partitions(spark, name, state, store.table_root(contract))
 
 
-def _load_times(clean: DataFrame) -> list[datetime]:
-    return [r[0] for r in clean.select("_datetime_added").distinct().limit(2).collect()]
+def _touched(target: DataFrame, offered: DataFrame, contract: TableContract) -> DataFrame:
+    """The table's rows in partitions that the offered rows name, NULL being a partition too.
 
-
-def _touched_partitions(contract: TableContract, clean: DataFrame) -> list | None:
-    """Partition values the rows name, or None if the whole table is to be published."""
-    if not contract.partition_by:
-        return None
+    The values of each partition column, which are as many as the batch has partitions,
+    prune the scan; the semi join picks the combinations.
+    """
     names = list(contract.partition_by)
-    if not clean.where(any_null(names)).isEmpty():
-        return None
-    found = clean.select(*[quoted(n) for n in names]).distinct().limit(PARTITION_SWITCHES + 1).collect()
-    plain = all(re.fullmatch(r"[\w.\-]+", str(row[n])) for row in found for n in names)
-    return found if plain and len(found) <= PARTITION_SWITCHES else None
+    values = cut_lineage(offered.select(*[quoted(p) for p in names]).distinct())
+    for p in names:
+        held = [r[0] for r in values.select(quoted(p)).distinct().toLocalIterator()]
+        named = quoted(p).isin([v for v in held if v is not None])
+        target = target.where(named | quoted(p).isNull() if None in held else named)
+    if len(names) == 1:
+        return target
+    wanted = values.select(*[quoted(p).alias(f"__p_{p}") for p in names])
+    same = F.lit(True)
+    for p in names:
+        same = same & quoted(p).eqNullSafe(quoted(f"__p_{p}"))
+    return target.join(wanted, same, "left_semi")
 
 
 def abandon_files(store: Store, contract: TableContract, claims: DataFrame, batch_id: str) -> DataFrame:
@@ -350,10 +384,15 @@ def abandon_files(store: Store, contract: TableContract, claims: DataFrame, batc
 
 
 def rename_table(store: Store, source: str, old: str, to: str) -> None:
-    """Move a table to a new name: rows re-keyed first, the ledger last."""
+    """Move a table to a new name, with its partitioning: rows, then the ledger, then the old files go.
+
+    A repeat after a crash starts from the old table as long as the ledger has the old name.
+    """
     spark = store.spark
     renamed = book.rename_table(store.ledger(), source, old, to)
     rows = book.rekey_rows(tables.read(spark, f"{source}.{old}"), renamed.mapping)
-    tables.publish(spark, f"{source}.{to}", rows, store.path("source", source, to))
-    tables.drop(spark, f"{source}.{old}")
+    root = store.path("source", source, old)
+    held = tables.current(spark, root)
+    tables.publish(spark, f"{source}.{to}", rows, store.path("source", source, to), held["partition_by"])
     store.save_ledger(renamed.ledger)
+    tables.drop(spark, f"{source}.{old}", root)

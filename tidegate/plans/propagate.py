@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.lineage import edges, levels
+from tidegate.session import cut_lineage
 from tidegate.sources import tables
 
 
@@ -33,7 +34,7 @@ def refresh(nodes: DataFrame, start: str, builders: Mapping[str, Callable[[], ob
     work is in the builders.
     """
     spark = nodes.sparkSession
-    links = edges(nodes)
+    links = cut_lineage(edges(nodes))
     placed = levels(links, spark.createDataFrame([(start,)], "node string"))
     parents = links.groupBy(F.col("child").alias("node")).agg(F.collect_set("parent").alias("parents"))
     plan = placed.join(parents, "node", "left").orderBy("level", "node").collect()

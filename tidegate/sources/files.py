@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,11 @@ LISTING = T.StructType(
 )
 
 
+def literal_path(path: str) -> str:
+    """A listed path for Spark's readers, which take paths as glob patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
     """(path, file_name, length, modified) of every file; column pruning leaves contents alone.
 

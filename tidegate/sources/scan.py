@@ -14,7 +14,7 @@ from tidegate.functions.marks import file_hash
 from tidegate.functions.names import clean_label
 from tidegate.operators.evolve import align
 from tidegate.session import cut_lineage
-from tidegate.sources.files import list_files
+from tidegate.sources.files import list_files, literal_path
 from tidegate.sources.headers import audit, violations
 
 FILE_NAME, FILE_TIME, INCREMENT, PRESENT, HASH = "_file_name", "_file_time", "_increment", "_present", "_hash"
@@ -69,7 +69,7 @@ def scan_audited(spark: SparkSession, audited: DataFrame, contract: TableContrac
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
     for row in audited.where(~F.col("refused")).select("path", "header").toLocalIterator():
-        layouts.setdefault(tuple(row.header), []).append(row.path)
+        layouts.setdefault(tuple(row.header), []).append(literal_path(row.path))
     result = align(spark.createDataFrame([], contract.schema), contract.schema).withColumns(
         {FILE_NAME: F.lit(None).cast("string"), FILE_TIME: F.lit(None).cast("timestamp"), PRESENT: F.lit(None).cast("array<string>")}
     )
@@ -84,7 +84,9 @@ def raise_refused(refused: DataFrame) -> None:
     some = refused.limit(20).collect()
     if some:
         listed = "; ".join(f"{r.path}: {r.reason} {list(r.names)}" for r in some)
-        raise ContractError(f"files do not fit the contract: {listed}")
+        count = refused.count()
+        rest = f", and {count - len(some)} more" if count > len(some) else ""
+        raise ContractError(f"files do not fit the contract: {listed}{rest}")
 
 
 def read_files(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -32,13 +33,15 @@ def ingest_arrivals(
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     arrivals = reader.load(folder).select("path")
+    # Another checkpoint counts its epochs from 0 again, so it is part of the batch id.
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:10]
 
     def take(files: DataFrame, epoch: int) -> None:
         # Bounded by files_per_batch; names only.
         paths = [r.path for r in files.toLocalIterator()]
         if paths:
             ingest_batch(
-                store, contract, paths, f"stream-{epoch}", datetime.now(timezone.utc).replace(tzinfo=None), on_refused
+                store, contract, paths, f"stream-{stream}-{epoch}", datetime.now(timezone.utc).replace(tzinfo=None), on_refused
             )
 
     writer = arrivals.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
