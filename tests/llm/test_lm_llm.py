@@ -37,7 +37,7 @@ def test_base_columns_match_brute_force(spark):
 
 def test_marginal_sums_all_segmentations():
     weights = {"▁": 0.1, "▁a": 0.2, "a": 0.1, "b": 0.2, "ab": 0.1, "▁ab": 0.05, "ba": 0.05}
-    lattice = Lattice({p: math.log(w) for p, w in weights.items()}, [math.log(1e-3)] * 256, 3)
+    lattice = Lattice({p: math.log(w) for p, w in weights.items()}, [math.log(1e-3)] * 256)
 
     def total(rest):
         return 1.0 if not rest else sum(w * total(rest[len(p) :]) for p, w in weights.items() if rest.startswith(p))
@@ -45,18 +45,11 @@ def test_marginal_sums_all_segmentations():
     for word in ("a", "ab", "abab", "babba"):
         assert lattice.log_probability(word) == pytest.approx(math.log(total("▁" + word)))
     assert lattice.log_probability("é") == pytest.approx(math.log(0.1 * 1e-6))  # two bytes
-    counts = Counter()
-    lattice.add_expected("ab", counts)
-    assert sum(len(p) * c for p, c in counts.items()) == pytest.approx(3)  # every character is used once
 
 
-def test_pieces_are_a_distribution_and_learning_helps(spark):
+def test_pieces_are_a_distribution():
     lattice = Lattice.of_vocabulary(FILE)
     assert sum(map(math.exp, lattice.weights.values())) + sum(map(math.exp, lattice.fallback)) == pytest.approx(1)
-    counts = Counter()
-    for word in ("thering", "thering", "bering"):
-        lattice.add_expected(word, counts)
-    assert lattice.trained(counts).log_probability("thering") > lattice.log_probability("thering")
     assert math.isfinite(lattice.log_probability("q" * 5000))
 
 

@@ -2,8 +2,7 @@
 
 The pieces and their order come from an existing vocabulary. A word is a path of pieces
 through its characters; the marginal over all paths (log-space forward recursion) is its
-subword probability. Piece probabilities start from the vocabulary's own scores, read as
-ranks, and are re-estimated once on the distinct training words by forward-backward.
+subword probability. The vocabulary's own scores, read as ranks, weight the pieces.
 Words seen in training also keep their share of the training tokens: of the probability
 mass, the Good-Turing share of unseen events goes to the lattice and the rest to the counts,
 which is one lattice with whole words as further arcs. No word crosses a word border, so
@@ -16,7 +15,7 @@ the text is read; all others go through one shuffle as (document, word, count).
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,12 +39,14 @@ def words_of(text: Column) -> Column:
 
 
 class Lattice:
-    """Marginal log10 probabilities of words over all their segmentations into pieces."""
+    """Marginal probabilities of words over all their segmentations into pieces."""
 
-    def __init__(self, weights: dict[str, float], fallback: list[float], longest: int):
+    def __init__(self, weights: dict[str, float], fallback: list[float]):
         self.weights = weights  # natural logarithms
         self.fallback = fallback  # of the 256 byte pieces
-        self.longest = longest
+        # A beginning of pieces that is no piece itself has no weight; what is in here not at all ends the search.
+        self.starts: dict[str, float | None] = {p[:n]: None for p in weights for n in range(1, len(p))}
+        self.starts.update(weights)
 
     @classmethod
     def of_vocabulary(cls, model_file: str) -> Lattice:
@@ -53,100 +54,42 @@ class Lattice:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        normal = [
-            i for i in range(model.get_piece_size())
-            if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
-        ]
+        special = (model.is_byte, model.is_control, model.is_unknown, model.is_unused)
+        normal = [i for i in range(model.get_piece_size()) if not any(test(i) for test in special)]
         ranked = sorted(normal, key=lambda i: (-model.get_score(i), i))
         raw = {model.id_to_piece(i): 1.0 / (50 + rank) for rank, i in enumerate(ranked)}
-        raw = {p: w for p, w in raw.items() if MARK not in p[1:] and p != MARK * len(p) or p == MARK}
+        raw = {p: w for p, w in raw.items() if p == MARK or MARK not in p[1:]}  # words hold one mark, in front
         rare = min(raw.values()) / 256
         total = sum(raw.values()) + 256 * rare
-        return cls(
-            {p: math.log(w / total) for p, w in raw.items()},
-            [math.log(rare / total)] * 256,
-            max(map(len, raw)),
-        )
-
-    def _arcs(self, word: str) -> list[list[tuple[int, float, str | bytes]]]:
-        """Per end position the arcs (start, weight, piece) that lead there."""
-        text, into = MARK + word, [[] for _ in range(len(word) + 2)]
-        find = self.weights.get
-        for start in range(len(text)):
-            for end in range(start + 1, min(start + self.longest, len(text)) + 1):
-                piece = text[start:end]
-                weight = find(piece)
-                if weight is not None:
-                    into[end].append((start, weight, piece))
-                elif end == start + 1:
-                    spelled = piece.encode("utf-8", "surrogatepass")
-                    into[end].append((start, sum(self.fallback[b] for b in spelled), spelled))
-        return into
-
-    @staticmethod
-    def _summed(logs: list[float]) -> float:
-        top = max(logs, default=-math.inf)
-        if top == -math.inf or len(logs) == 1:
-            return top
-        return top + math.log(sum(math.exp(x - top) for x in logs))
-
-    def _forward(self, arcs) -> list[float]:
-        alpha = [0.0]
-        for into in arcs[1:]:
-            alpha.append(self._summed([alpha[start] + weight for start, weight, _ in into]))
-        return alpha
+        return cls({p: math.log(w / total) for p, w in raw.items()}, [math.log(rare / total)] * 256)
 
     def log_probability(self, word: str) -> float:
-        """Natural logarithm of the word's marginal."""
-        return self._forward(self._arcs(word))[-1]
-
-    def add_expected(self, word: str, counts: dict[str | bytes, float]) -> None:
-        """Add the expected uses of each piece (bytes one by one) in the word's segmentations."""
-        arcs = self._arcs(word)
-        alpha = self._forward(arcs)
-        beta: list[list[float]] = [[] for _ in arcs]
-        total = alpha[-1]
-        after = [0.0] * len(arcs)
-        for end in range(len(arcs) - 1, 0, -1):
-            after[end] = 0.0 if end == len(arcs) - 1 else self._summed(beta[end])
-            for start, weight, piece in arcs[end]:
-                beta[start].append(after[end] + weight)
-                share = math.exp(min(0.0, alpha[start] + weight + after[end] - total))
-                if isinstance(piece, bytes):
-                    for b in piece:
-                        counts[bytes([b])] += share
-                else:
-                    counts[piece] += share
-
-    def trained(self, expected: dict[str | bytes, float], smoothing: float = 0.1) -> Lattice:
-        total = sum(expected.values()) + smoothing * (len(self.weights) + 256)
-        return Lattice(
-            {p: math.log((expected.get(p, 0.0) + smoothing) / total) for p in self.weights},
-            [math.log((expected.get(bytes([b]), 0.0) + smoothing) / total) for b in range(256)],
-            self.longest,
-        )
-
-
-def _expected(words: DataFrame, lattice: Lattice) -> dict[str | bytes, float]:
-    """Expected piece uses over the distinct words; at most one row per piece reaches the driver."""
-    shared = words.sparkSession.sparkContext.broadcast(lattice)
+        """Natural logarithm of the word's marginal, by forward recursion in log space."""
+        text = MARK + word
+        size, find, unknown = len(text), self.starts.get, self
+        reached: list[list[float]] = [[] for _ in range(size + 1)]
+        reached[0].append(0.0)
+        for start in range(size):
+            here = _summed(reached[start])
+            reached[start] = []
+            for end in range(start + 1, size + 1):
+                weight = find(text[start:end], unknown)
+                if weight is unknown:
+                    break
+                if weight is not None:
+                    reached[end].append(here + weight)
+            if text[start] not in self.weights:  # spelled in bytes
+                spelled = text[start].encode("utf-8", "surrogatepass")
+                reached[start + 1].append(here + sum([self.fallback[b] for b in spelled]))
+        return _summed(reached[size])
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str | bytes, float] = defaultdict(float)
-        for batch in batches:
-            for word in batch.column(0).to_pylist():
-                shared.value.add_expected(word, counts)
-        pieces = [p if isinstance(p, bytes) else b"\xff" + p.encode("utf-8") for p in counts]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(pieces, pa.binary()), pa.array(list(counts.values()), pa.float64())], ["piece", "uses"]
-        )
 
-    summed = words.select("word").mapInArrow(each, "piece binary, uses double").groupBy("piece").agg(F.sum("uses"))
-    out: dict[str | bytes, float] = {}
-    for piece, uses in summed.collect():  # bounded by the vocabulary
-        piece = bytes(piece)
-        out[piece[1:].decode("utf-8") if len(piece) > 1 else piece] = uses
-    return out
+def _summed(logs: list[float]) -> float:
+    """Logarithm of the sum of the numbers with these logarithms."""
+    if len(logs) == 1:
+        return logs[0]
+    top = max(logs)
+    return top + math.log(sum([math.exp(x - top) for x in logs]))
 
 
 def likelihoods(
@@ -158,8 +101,7 @@ def likelihoods(
     modulo FOLDS are scored but not learnt from; a NULL id is learnt from. base_score is
     add-one over words, `score` the lattice model's log10 probability. NULL and empty texts are an
     end alone. Repeated rows are learnt from and scored each by itself. Without rows to
-    learn from all words are unknown and the lattice keeps the vocabulary's weights. Other
-    columns are not read.
+    learn from all words are unknown. Other columns are not read.
     """
     held = F.coalesce(F.pmod(F.crc32(quoted(id_column).cast("string")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
     rows = docs.select(quoted(id_column).alias("id"), held.alias("held"), quoted(text_column).alias("text"))
@@ -177,11 +119,7 @@ def likelihoods(
     tokens, distinct, once = tokens + ends, distinct + (ends > 0), once + (ends == 1)
     unseen = min(0.5, max(1e-4, once / tokens)) if tokens else 1.0
 
-    lattice = Lattice.of_vocabulary(model_file)
-    known = words.where("c > 0")
-    if ends:
-        lattice = lattice.trained(_expected(known, lattice))
-    shared = rows.sparkSession.sparkContext.broadcast(lattice)  # of the vocabulary's size
+    shared = rows.sparkSession.sparkContext.broadcast(Lattice.of_vocabulary(model_file))  # of the vocabulary's size
 
     def base_of(c: int) -> float:
         return math.log10((c + 1) / (tokens + distinct + 1))
