@@ -357,3 +357,125 @@ def test_tables(spark, fresh):
     assert tables.read(spark, f"{name}.t").count() == 0
     tables.drop(spark, f"{name}.t")
     assert not tables.exists(spark, f"{name}.t")
+
+
+def test_partition_values_of_any_kind(world):
+    store, contract, raw = world
+    columns = T.StructType([T.StructField("place", T.StringType()), T.StructField("seen", T.TimestampType()), T.StructField("n", T.IntegerType())])
+    parted = dataclasses.replace(contract, columns=columns, keys=("place", "seen", "n"), partition_by=("place", "seen"), rules=())
+    header = ["place", "seen", "n"]
+    first = [["Rome", "2024-01-01 10:00:00", "1"], ["Oslo", "2024-01-01 10:00:00", "2"], ["", "2024-01-01 10:00:00", "3"]]
+    second = [["New York's = 1%", "2024-01-01 10:30:00", "4"], ["Rome", "2024-01-01 10:00:00", "1"], ["Rome", "", "5"]]
+    write(raw + "/1", "a.csv", first, header)
+    write(raw + "/2", "b.csv", second, header)
+    ingest_batch(store, parted, raw + "/1", "b1", at(0))
+    ingest_batch(store, parted, raw + "/2", "b2", at(1))
+    got = {(r.place, str(r.seen), r.n) for r in store.table(parted).collect()}
+    assert got == {
+        ("Rome", "2024-01-01 10:00:00", 1), ("Oslo", "2024-01-01 10:00:00", 2), (None, "2024-01-01 10:00:00", 3),
+        ("New York's = 1%", "2024-01-01 10:30:00", 4), ("Rome", "None", 5),
+    }
+    assert store.table(parted).where("place = 'Rome'").count() == 2
+    rename_table(store, contract.source, "table0", "moved")
+    moved = dataclasses.replace(parted, table="moved")
+    write(raw + "/3", "c.csv", [["Rome", "2024-01-01 10:00:00", "6"]], header)
+    ingest_batch(store, moved, raw + "/3", "b3", at(2))
+    assert store.table(moved).count() == 6
+
+
+def test_same_name_in_two_folders_is_refused(world):
+    store, contract, raw = world
+    write(raw + "/x", "a.csv", days(count=2).values())
+    write(raw + "/y", "a.csv", days(count=3).values())
+    with pytest.raises(ValueError, match="more than once"):
+        ingest_batch(store, contract, [raw + "/x", raw + "/y"], "b1", at(0))
+
+
+def test_abandoned_file_can_come_again_under_its_batch(world, monkeypatch):
+    store, contract, raw = world
+    write(raw, "a.csv", days(count=3).values())
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "_test_and_load", lambda *args: (_ for _ in ()).throw(RuntimeError("stop")))
+        with pytest.raises(RuntimeError, match="stop"):
+            ingest_batch(store, contract, raw, "b1", at(0))
+    claims = store.spark.createDataFrame([("a.csv", 0)], "file_name string, increment int")
+    abandon_files(store, contract, claims, "b1")
+    ingest_batch(store, contract, raw, "b1", at(0))
+    assert store.table(contract).count() == 3
+
+
+def test_second_run_of_a_batch_keeps_earlier_review_rows(world):
+    store, contract, raw = world
+    bad = [[d, "abc", *rest] for d, _, *rest in days(count=2).values()]
+    write(raw, "a.csv", bad)
+    ingest_batch(store, contract, raw, "b1", at(0))
+    write(raw, "b.csv", [["2019-01-01", "abc", "1.5", "1", "2019-01-01 10:11:12", "true"]])
+    ingest_batch(store, contract, raw, "b1", at(1))
+    assert store.review(contract).count() == 3
+
+
+def test_names_with_glob_characters(world):
+    store, contract, raw = world
+    for i, name in enumerate(("a[1].csv", "b{x,y}.csv", "c*.csv")):
+        write(raw, name, days(datetime(2018 + i, 1, 1), 2).values())
+    ingest_batch(store, contract, raw, "b1", at(0))
+    assert store.table(contract).count() == 6
+
+
+def test_another_process_goes_on_with_the_store(world):
+    store, contract, raw = world
+    write(raw, "a.csv", days(count=3).values())
+    ingest_batch(store, contract, raw, "b1", at(0))
+    name, ledger = store.table_name(contract), store.ledger_name
+    spark = store.spark
+    for known in (name, ledger):  # what a new session's catalog does not know
+        spark.sql(f"DROP TABLE {known}")
+    again = Store(spark, store.root, ledger)
+    assert again.table(contract).count() == 3 and again.ledger().count() == 1
+    ingest_batch(again, contract, raw, "b1", at(0))
+    write(raw, "b.csv", days(datetime(2018, 1, 1), 4).values())
+    ingest_batch(again, contract, raw, "b2", at(1))
+    assert again.table(contract).count() == 7
+
+
+def test_old_states_expire(world):
+    store, contract, raw = world
+    for i in range(3):
+        write(f"{raw}/{i}", f"{i}.csv", days(datetime(2018 + i, 1, 1), 2).values())
+        ingest_batch(store, contract, f"{raw}/{i}", f"b{i}", at(i))
+    root = store.table_root(contract)
+    assert len([n for n in os.listdir(root) if n.startswith("v-")]) > 1
+    assert store.expire(contract, timedelta(days=1)) == 0
+    assert store.expire(contract, timedelta(days=-1)) > 0
+    assert len([n for n in os.listdir(root) if n.startswith("v-")]) == 1
+    assert store.table(contract).count() == 6 and store.ledger().count() == 3
+
+
+def test_a_load_is_appended_once(spark, fresh):
+    folder, name = fresh
+    tables.create(spark, f"{name}.t", T.StructType([T.StructField("a", T.IntegerType())]), folder)
+    one = spark.createDataFrame([(1,)], "a int")
+    for _ in range(2):
+        tables.append(spark, f"{name}.t", one, load="first")
+    tables.append(spark, f"{name}.t", one, load="second")
+    assert tables.read(spark, f"{name}.t").count() == 2
+
+
+def test_repeated_updates_and_colliding_hashes(spark):
+    from pyspark.errors import PySparkException
+
+    from tidegate.operators.dml import update_from
+
+    rows_ = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    with pytest.raises(PySparkException, match="share a key"):
+        update_from(rows_, twice, "k").collect()
+    # Two files under one hash: rows are neither multiplied nor lost.
+    ledger = book.entries_for(
+        spark.createDataFrame([("s", "t", "a"), ("s", "t", "b")], "source string, table string, file_name string"), at(0)
+    ).withColumn("hash", F.lit(7))
+    renamed = book.rename_table(ledger, "s", "t", "u")
+    held = spark.createDataFrame([(7, 1), (7, 2), (7, 3)], "_hash int, n int")
+    moved = book.rekey_rows(held, renamed.mapping)
+    assert moved.count() == 3 and renamed.ledger.count() == 2
+    assert {r._hash for r in moved.collect()} == {r.hash for r in renamed.ledger.collect()}

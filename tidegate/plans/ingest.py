@@ -380,9 +380,29 @@ def abandon_files(store: Store, contract: TableContract, claims: DataFrame, batc
         spark.read.schema(_staged_schema(contract)).parquet(left).write.mode("overwrite").parquet(path)
         tables.remove_folder(spark, left)
     store.save_ledger(result.ledger)
+    _unlist(store, contract, named, refused, batch_id)
     return refused
 
 
+def _unlist(store: Store, contract: TableContract, named: DataFrame, refused: DataFrame, batch_id: str) -> None:
+    """Take given-up files off the staged batch's list, so that they can be taken again."""
+    spark = store.spark
+    listed_at, left = store.step("listed", contract, batch_id), store.step("listed-left", contract, batch_id)
+    if not tables.is_complete(spark, listed_at):
+        return
+    gone = filter_join(named, refused, list(book.ENTRY), "left_anti").where("increment = 0")
+    filter_join(spark.read.schema(LISTED).parquet(listed_at), gone, list(book.FILE), "left_anti").write.mode(
+        "overwrite"
+    ).parquet(left)
+    kept = spark.read.schema(LISTED).parquet(left)
+    if kept.isEmpty():
+        tables.remove_folder(spark, store.step("staged", contract, batch_id))
+        tables.remove_folder(spark, listed_at)
+    else:
+        kept.write.mode("overwrite").parquet(listed_at)
+    tables.remove_folder(spark, left)
+
+
 def rename_table(store: Store, source: str, old: str, to: str) -> None:
     """Move a table to a new name, with its partitioning: rows, then the ledger, then the old files go.
 

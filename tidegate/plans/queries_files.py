@@ -182,3 +182,107 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared = contract(source)
     ingest_arrivals(store, declared, folder, store.path("checkpoint")).awaitTermination()
     return _view(store.table(declared))
+
+
+@registered(
+    "merge_partitioned",
+    """SELECT o_orderkey, o_custkey, o_orderstatus,
+              CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') AND o_orderkey % 10 <> 0
+                   THEN o_totalprice + 1 ELSE o_totalprice END AS DECIMAL(18,2)) AS o_totalprice,
+              o_orderdate, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderpriority END AS o_orderpriority
+       FROM orders""",
+)
+def merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table partitioned by priority (values with spaces, and NULL); two of its partitions change."""
+    store, source = _fresh_store(spark, "parted")
+    folder = scratch_path(spark, "arrived")
+    declared = contract(source, keys=("o_orderpriority", "o_orderkey"), partition_by=("o_orderpriority",), rules=())
+    priority = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderpriority")).alias("o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select(*NAMES[:-1], priority)
+    text = orders.select(
+        *NAMES[:3], F.col("o_totalprice").cast("decimal(18,2)"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority",
+    )
+    text.write.option("header", True).csv(f"{folder}/1")
+    changed = text.where(F.col("o_orderpriority").isin("1-URGENT", "4-NOT SPECIFIED"))
+    changed.withColumn("o_totalprice", F.col("o_totalprice") + 1).write.option("header", True).csv(f"{folder}/2")
+    ingest_batch(store, declared, f"{folder}/1", "first", datetime(2024, 6, 1))
+    ingest_batch(store, declared, f"{folder}/2", "second", datetime(2024, 6, 2))
+    return _view(store.table(declared))
+
+
+@registered(
+    "replace_partitioned",
+    """SELECT * REPLACE (CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice) FROM orders
+       WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""",
+)
+def replace_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table replaced by a file with fewer partitions."""
+    store, source = _fresh_store(spark, "replaced")
+    folder = scratch_path(spark, "arrived")
+    declared = contract(
+        source, keys=("o_orderpriority", "o_orderkey"), partition_by=("o_orderpriority",), rules=(), strategy="replace"
+    )
+    text = table(spark, sf_dir, "orders").select(
+        *NAMES[:3], F.col("o_totalprice").cast("decimal(18,2)"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority",
+    )
+    # A replace takes the last file of a batch whole, so each delivery is one file.
+    text.coalesce(1).write.option("header", True).csv(f"{folder}/1")
+    fewer = text.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+    fewer.coalesce(1).write.option("header", True).csv(f"{folder}/2")
+    ingest_batch(store, declared, f"{folder}/1", "first", datetime(2024, 6, 1))
+    ingest_batch(store, declared, f"{folder}/2", "second", datetime(2024, 6, 2))
+    return _view(store.table(declared))
+
+
+class _CutOff(Store):
+    """A store whose batches break off after staging."""
+
+    def step(self, step, contract, batch_id):
+        if step == "marked":
+            raise InterruptedError("cut off after staging")
+        return super().step(step, contract, batch_id)
+
+
+@registered("ingest_resumed", f"SELECT * FROM ({TYPED_SQL}) WHERE o_totalprice IS NOT NULL")
+def ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch cut off after staging, more files in its folder, and the same call twice more."""
+    store, source = _fresh_store(spark, "resumed")
+    folder = scratch_path(spark, "arrived")
+    declared = contract(source)
+    text = as_text(table(spark, sf_dir, "orders"))
+    text.where("o_orderstatus = 'F'").write.option("header", True).csv(folder)
+    try:
+        ingest_batch(_CutOff(spark, store.root, store.ledger_name), declared, folder, "daily", datetime(2024, 6, 1))
+    except InterruptedError:
+        text.where("o_orderstatus != 'F'").write.mode("append").option("header", True).csv(folder)
+    ingest_batch(store, declared, folder, "daily", datetime(2024, 6, 1))  # goes on with what was staged
+    ingest_batch(store, declared, folder, "daily", datetime(2024, 6, 1))  # takes the files that came meanwhile
+    return _view(store.table(declared))
+
+
+def _reviewed(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
+    """Clean rows, then the corrected ones at the same load time."""
+    store, source = _fresh_store(spark, strategy)
+    folder = scratch_path(spark, "arrived")
+    orders = table(spark, sf_dir, "orders")
+    as_text(orders).coalesce(1).write.option("header", True).csv(folder)
+    declared = contract(source, strategy=strategy)
+    ingest_batch(store, declared, folder, "first", datetime(2024, 6, 1))
+    fixes = orders.select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    ingest_review(store, declared, fixes, "o_orderkey", "first", datetime(2024, 6, 1))
+    return _view(store.table(declared))
+
+
+ALL_ORDERS = "SELECT * REPLACE (CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice) FROM orders"
+
+
+@registered("ingest_review_insert", ALL_ORDERS)
+def ingest_review_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reviewed(spark, sf_dir, "insert")
+
+
+@registered("ingest_review_replace", ALL_ORDERS)
+def ingest_review_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reviewed(spark, sf_dir, "replace")
