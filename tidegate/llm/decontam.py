@@ -87,9 +87,26 @@ def contamination(
     repeat an id are judged each by its own text. An empty benchmark hits nothing. Other
     columns are not read.
     """
-    mark = F.xxhash64(F.coalesce(quoted(text_column).cast("string"), F.lit("")))
+    found = _contamination(docs, benchmark, id_column, text_column, item_column, item_text_column, window)
+    return found.select(
+        F.col("doc").alias(id_column),
+        "n_words",
+        F.col("n_hit").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def _mark(text_column: str) -> Column:
+    """Tells rows of one id apart by their text."""
+    return F.xxhash64(F.coalesce(quoted(text_column).cast("string"), F.lit("")))
+
+
+def _contamination(docs, benchmark, id_column, text_column, item_column, item_text_column, window) -> DataFrame:
+    """doc, mark, n_words, n_hit and items of every row."""
     keyed = docs.select(
-        quoted(id_column).alias("doc"), mark.alias("mark"), words_of(quoted(text_column)).alias("words")
+        quoted(id_column).alias("doc"), _mark(text_column).alias("mark"), words_of(quoted(text_column)).alias("words")
     )
     windows = cut_lineage(_windows(benchmark, item_column, item_text_column, window))
     shingles = cut_lineage(_window_tokens(windows))
@@ -107,7 +124,7 @@ def contamination(
         places = part if places is None else places.unionByName(part)
     counted = keyed.select("doc", "mark", F.size("words").cast("long").alias("n_words"))
     if places is None:
-        return _report(counted.withColumns({"n_hit": F.lit(0), "items": F.array().cast("array<string>")}), id_column)
+        return counted.withColumns({"n_hit": F.lit(0), "items": F.array().cast("array<string>")})
     places = cut_lineage(places)
 
     rarity = places.groupBy("width", "token").agg(F.count(F.lit(1)).alias("seen"))
@@ -150,12 +167,9 @@ def contamination(
     )
     hit = cut_lineage(per_doc).alias("h")
     joined = counted.alias("c").join(hit, F.expr("c.doc <=> h.doc and c.mark = h.mark"), "left")
-    return _report(
-        joined.select(
-            "c.doc", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
-            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        ),
-        id_column,
+    return joined.select(
+        "c.doc", "c.mark", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 
@@ -171,23 +185,17 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), nothing, add, lambda done: done["total"])
 
 
-def _report(found: DataFrame, id_column: str) -> DataFrame:
-    return found.select(
-        F.col("doc").alias(id_column),
-        "n_words",
-        F.col("n_hit").cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
-    )
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **names: str) -> DataFrame:
-    """The rows without any hit word, with all their columns.
-
-    A row is dropped by its id, so rows that repeat the id of a contaminated row go too, and
-    a row without an id is only dropped if its text is contaminated under no id.
-    """
-    found = contamination(docs, benchmark, id_column, **names).where("contaminated")
-    bad = settle(found.select(F.col(id_column).alias("bad")).distinct()).frame
-    return docs.join(bad, quoted(id_column).eqNullSafe(F.col("bad")), "left_anti")
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """The rows without any hit word, with all their columns, each judged by its own text."""
+    found = _contamination(docs, benchmark, id_column, text_column, item_column, item_text_column, window)
+    bad = found.where("n_hit > 0").select(F.col("doc").alias("__bad"), F.col("mark").alias("__bad_mark")).distinct()
+    same = quoted(id_column).eqNullSafe(F.col("__bad")) & (_mark(text_column) == F.col("__bad_mark"))
+    return docs.join(settle(bad).frame, same, "left_anti")
