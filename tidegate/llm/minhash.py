@@ -27,12 +27,15 @@ from tidegate.functions.compare import quoted
 from tidegate.llm.components import components
 from tidegate.llm.shingles import UniversalHashes, overlap, shingle_set
 from tidegate.operators.sizing import settle
-from tidegate.session import cut_lineage
+from tidegate.session import cut_lineage, scratch_path
+from tidegate.sources.tables import remove_folder
 
 SHINGLE_WORDS = 5
 SEED = 20_011
 # Chance at most that a pair at the threshold shares no band, and hash functions at most.
-MISS, HASHES = 1e-6, 160
+MISS, HASHES = 1e-6, 256
+# Bytes of one minimum in a signature.
+WIDE = 2
 _CHUNK = 1 << 15
 
 
@@ -45,10 +48,14 @@ def banding(percent: int, miss: float = MISS, hashes: int = HASHES) -> tuple[int
     raise ValueError("no banding with that few hash functions")
 
 
-def _plausible(percent: int, count: int) -> int:
-    """Equal minima that a pair at the threshold has all but surely (six standard deviations)."""
-    share = percent / 100
-    return math.floor(count * share - 6 * math.sqrt(count * share * (1 - share)))
+def _plausible(percent: int, count: int, miss: float = MISS) -> int:
+    """Equal minima that a pair at the threshold has but for a chance of `miss` (binomial tail)."""
+    share, tail = percent / 100, 0.0
+    for equal in range(count + 1):
+        tail += math.comb(count, equal) * share**equal * (1 - share) ** (count - equal)
+        if tail > miss:
+            return equal
+    return count
 
 
 def _profiles(docs: DataFrame, id_column: str, text_column: str, width: int, count: int) -> DataFrame:
@@ -114,7 +121,7 @@ def _screened(pairs: DataFrame, classes: DataFrame, percent: int, count: int) ->
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                np.count_nonzero(np.frombuffer(a.as_py(), np.uint32) == np.frombuffer(b.as_py(), np.uint32)) >= least
+                np.count_nonzero(np.frombuffer(a.as_py(), np.uint16) == np.frombuffer(b.as_py(), np.uint16)) >= least
                 for a, b in zip(batch.column(2), batch.column(3), strict=True)
             ]
             chosen = batch.filter(pa.array(keep, pa.bool_()))
@@ -145,30 +152,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(each, "u binary, v binary")
 
 
-def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs across roots that can reach the threshold; `sets` has digest, n, shingles and root.
+def _prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) across roots that can reach the threshold, of the nodes (digest, root).
 
     Shingles are ordered by rarity. Of a pair (x, y) with n_x >= n_y, some shared shingle
     is early enough in both orders for the rest to reach the needed overlap; shingles of one
-    class alone cannot be shared and only take up the first places.
+    class alone cannot be shared and only take up the first places. Nodes and roots go by
+    numbers, as a row per shingle is shuffled.
     """
     p = percent
-    each = sets.select("digest", "n", F.explode("shingles").alias("token"))
+    numbered = cut_lineage(nodes.withColumn("node", F.monotonically_increasing_id()))
+    by_root = numbered.groupBy("root").agg(F.min("node").alias("root_node"))
+    numbered = cut_lineage(numbered.join(by_root, "root").select("digest", "node", "root_node"))
+    held = sets.join(numbered, "digest")
+    each = held.select("node", F.explode("shingles").alias("token"))
     shared = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # ceil(percent * n / 100) of n must be shared at least, so only this many places can come first.
     room = F.expr(f"n - ceil({p} * n / 100.0) + 1")
-    ordered = (
+    sizes_of = sets.select("digest", "n").join(numbered, "digest").select("node", "n", F.col("root_node").alias("root"))
+    rows = (
         each.join(shared, "token")
-        .groupBy("digest", "n")
+        .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+        .join(sizes_of, "node")
         .withColumn("alone", F.col("n") - F.size("tokens"))
         .withColumn("room", (room - F.col("alone")).cast("int"))
         .where("room > 0")
-        .select("digest", "alone", F.posexplode(F.slice("tokens", F.lit(1), F.col("room"))).alias("at", "t"), "n")
-    )
-    roots = sets.select("digest", "root")
-    rows = ordered.join(roots, "digest").select(
-        "digest", "root", "n", F.col("t.token").alias("token"), (F.col("alone") + F.col("at")).alias("place")
+        .select("node", "root", "n", "alone", F.posexplode(F.slice("tokens", F.lit(1), F.col("room"))).alias("at", "t"))
+        .select("node", "root", "n", F.col("t.token").alias("token"), (F.col("alone") + F.col("at")).alias("place"))
     )
     # Needed overlap of sizes a and b: ceil(p * (a + b) / (100 + p)).
     size_class = "cast(floor(ln({}) / ln(1.05)) as int)"
@@ -201,11 +212,11 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     )
     placed = cut_lineage(placed.join(main, ["token", "sizes"]).withColumn("odd", F.col("root") != F.col("main")))
     short = placed.where("role = 0").select(
-        "token", "sizes", "odd", F.col("digest").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"),
+        "token", "sizes", "odd", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"),
         F.col("root").alias("ry"),
     )
     long = placed.where("role = 1").select(
-        "token", "sizes", "odd", F.col("digest").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"),
+        "token", "sizes", "odd", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"),
         F.col("root").alias("rx"),
     )
     fits = (
@@ -214,7 +225,10 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     odd_short = short.where("odd").drop("odd").join(long.drop("odd"), ["token", "sizes"]).where(fits)
     odd_long = short.where("not odd").drop("odd").join(long.where("odd").drop("odd"), ["token", "sizes"]).where(fits)
     found = odd_short.select("x", "y").unionByName(odd_long.select("x", "y"))
-    return found.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+    pairs = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    one = numbered.select(F.col("node").alias("x"), F.col("digest").alias("u"))
+    two = numbered.select(F.col("node").alias("y"), F.col("digest").alias("v"))
+    return pairs.join(two, "y").join(one, "x").select("u", "v")
 
 
 def near_duplicates(
@@ -233,41 +247,42 @@ def near_duplicates(
     id name no component that has another; they are kept only where no row of theirs has an id.
     No rows give no rows. Other columns are not read.
     """
+    return _decided(docs, percent, id_column, text_column, width).select(
+        F.col("id").alias(id_column),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
+def _decided(docs: DataFrame, percent: int, id_column: str, text_column: str, width: int) -> DataFrame:
+    """id, mark (of the text), n and component of every row."""
     rows, bands = banding(percent)
     count = rows * bands
-    profile = cut_lineage(_profiles(docs, id_column, text_column, width, count))
-    narrow = profile.select("id", "n", "digest")
-    found = _links(docs, profile, percent, id_column, text_column, width, rows, bands)
+    wide = scratch_path(docs.sparkSession, "profiles")
+    _profiles(docs, id_column, text_column, width, count).write.parquet(wide)
+    profile = docs.sparkSession.read.parquet(wide)
+    narrow = cut_lineage(profile.select("id", "mark", "n", "digest"))
+    classes = cut_lineage(
+        profile.where("n > 0")
+        .groupBy("digest")
+        .agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("id", "mark")).alias("rep"))
+    )
+    remove_folder(docs.sparkSession, wide)  # nothing that follows goes back to it
+    found = _links(docs, classes, percent, id_column, text_column, width, rows, bands)
     if found is None:
         rooted = narrow.withColumn("root", F.col("digest"))
     else:
         stars = components(found)
-        rooted = narrow.join(stars, F.col("digest") == F.col("node"), "left").select(
-            "id", "n", F.coalesce("root", "digest").alias("root")
-        )
-    rooted = cut_lineage(rooted.select("id", "n", "root"))
+        rooted = narrow.join(stars, F.col("digest") == F.col("node"), "left").withColumn("root", F.coalesce("root", "digest"))
+    rooted = cut_lineage(rooted.select("id", "mark", "n", "root"))
     names = cut_lineage(rooted.where("n > 0").groupBy("root").agg(F.min("id").alias("component")))
-    return (
-        rooted.where("n > 0")
-        .join(names, "root")
-        .select("id", "n", "component")
-        .unionByName(rooted.where("n = 0").select("id", "n", F.col("id").alias("component")))
-        .select(
-            F.col("id").alias(id_column),
-            F.col("n").alias("n_shingles"),
-            F.col("component").alias("component_id"),
-            F.col("id").eqNullSafe(F.col("component")).alias("kept"),
-        )
-    )
+    alone = rooted.where("n = 0").select("id", "mark", "n", F.col("id").alias("component"))
+    return rooted.where("n > 0").join(names, "root").select("id", "mark", "n", "component").unionByName(alone)
 
 
-def _links(docs, profile, percent, id_column, text_column, width, rows, bands) -> DataFrame | None:
+def _links(docs, classes, percent, id_column, text_column, width, rows, bands) -> DataFrame | None:
     """Confirmed links between the documents' classes."""
-    classes = cut_lineage(
-        profile.where("n > 0")
-        .groupBy("digest")
-        .agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("id", "mark")).alias("rep"))
-    )
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         """The sets from one text of each class."""
@@ -293,7 +308,7 @@ def links_between(
     """
     count = rows * bands
     keys = F.array(*[
-        F.xxhash64(F.lit(i), F.expr(f"substring(signature, {4 * rows * i + 1}, {4 * rows})")) for i in range(bands)
+        F.xxhash64(F.lit(i), F.expr(f"substring(signature, {WIDE * rows * i + 1}, {WIDE * rows})")) for i in range(bands)
     ])
     members = classes.select("digest", F.explode(keys).alias("key"))
     buckets = cut_lineage(
@@ -323,7 +338,7 @@ def links_between(
     open_nodes = cut_lineage(rooted.join(undecided, "key").select("digest", "root").distinct())
     if open_nodes.isEmpty():
         return links
-    crossing = cut_lineage(_prefix_pairs(sets.join(open_nodes, "digest"), percent))
+    crossing = cut_lineage(_prefix_pairs(sets, open_nodes, percent))
     more = _confirmed(cut_lineage(_screened(crossing, held, percent, count)), sets, percent)
     return links.unionByName(more)
 
@@ -331,7 +346,9 @@ def links_between(
 def drop_near_copies(
     docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The rows that `near_duplicates` keeps, with all their columns; rows without an id stay."""
-    found = near_duplicates(docs, percent, id_column, text_column)
-    bad = settle(found.where("not kept").select(F.col(id_column).alias("__bad")).dropna().distinct()).frame
-    return docs.join(bad, quoted(id_column) == F.col("__bad"), "left_anti")
+    """The rows that `near_duplicates` keeps, with all their columns, each judged by its own text."""
+    found = _decided(docs, percent, id_column, text_column, SHINGLE_WORDS)
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component")))
+    bad = settle(gone.select(F.col("id").alias("__bad"), F.col("mark").alias("__bad_mark")).distinct()).frame
+    mark = F.xxhash64(F.coalesce(quoted(text_column).cast("string"), F.lit("")))
+    return docs.join(bad, quoted(id_column).eqNullSafe(F.col("__bad")) & (mark == F.col("__bad_mark")), "left_anti")
