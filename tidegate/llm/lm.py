@@ -30,7 +30,8 @@ HEAVY = 20_000
 SPACE = r"[\x20\x09-\x0D]+"
 MARK = "▁"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_END = "\n"  # no word holds white space, so this stands for the end of a text
+# Bytes with A-Z lowered; splitting bytes at white space splits at exactly the bytes of SPACE.
+_LOWERED = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
 def words_of(text: Column) -> Column:
@@ -148,8 +149,8 @@ def likelihoods(
         words.select("word", "c", "seen").mapInArrow(score, "word string, c long, seen long, base double, score double")
     )
     heavy = F.col("seen") >= max(2, seen // HEAVY)
-    often = {r["word"]: (r["c"] > 0, r["base"], r["score"]) for r in table.where(heavy).collect()}  # at most HEAVY
-    often[_END] = (ends > 0, base_of(ends), score_of(ends, math.log(ends / tokens) if ends else 0.0))
+    often = {r["word"].encode("utf-8"): (r["c"] > 0, r["base"], r["score"]) for r in table.where(heavy).collect()}  # at most HEAVY
+    end = (int(ends > 0), base_of(ends), score_of(ends, math.log(ends / tokens) if ends else 0.0))
     frequent = rows.sparkSession.sparkContext.broadcast(often)
     kind = docs.schema[id_column].dataType.simpleString()
 
@@ -159,33 +160,45 @@ def likelihoods(
         scored = frequent.value
         for batch in batches:
             types[1] = batch.schema.field(1).type
-            out: list[list] = [[] for _ in names]
-
-            def put(*values, out=out):
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
+            whole: list[list] = [[] for _ in names]  # a row per document
+            rest: list[list] = [[], [], []]  # at, word and k of what is not frequent
+
+            def flush(whole=whole, rest=rest, types=tuple(types)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(whole, types, strict=True)], names)
+                size = len(rest[0])
+                told = dict(zip(("at", "word", "k"), rest, strict=True))
+                columns = [
+                    pa.array(told[n], pa.binary() if n == "word" else t).cast(t) if n in told else pa.nulls(size, t)
+                    for n, t in zip(names, types, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+                for column in (*whole, *rest):
+                    column.clear()
 
             for at, key, kept, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts = Counter(w for w in text if w)
-                counts[_END] += 1
-                known, base, total = 0, 0.0, 0.0
+                counts = Counter((text or "").encode("utf-8", "surrogatepass").translate(_LOWERED).split())
+                n, known, base, total = 1, end[0], end[1], end[2]
+                seldom = []
                 for word, k in counts.items():
                     hit = scored.get(word)
+                    n += k
                     if hit is None:
-                        put(at, None, None, word, k, None, None, None)
+                        seldom.append(word)
                     else:
                         known += k * hit[0]
                         base += k * hit[1]
                         total += k * hit[2]
-                put(at, key, kept, None, sum(counts.values()), known, base, total)
-                if len(out[0]) > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
-                    for column in out:
-                        column.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
+                rest[0].extend([at] * len(seldom))
+                rest[1].extend(seldom)
+                rest[2].extend([counts[word] for word in seldom])
+                for column, value in zip(whole, (at, key, kept, None, n, known, base, total), strict=True):
+                    column.append(value)
+                if len(rest[0]) > 200_000:
+                    yield from flush()
+            yield from flush()
 
     parts = cut_lineage(
-        rows.select(F.monotonically_increasing_id().alias("at"), "id", "held", words_of(F.col("text")).alias("words"))
+        rows.select(F.monotonically_increasing_id().alias("at"), "id", "held", F.col("text").cast("string"))
         .mapInArrow(
             read,
             f"at long, id {kind}, held boolean, word string, k long, known long, base double, score double",
