@@ -217,6 +217,7 @@ def abandon(
     return Abandoned(state, left, refused)
 
 
+# Fixed values.
 ENTRY_TYPES = ("All", "Incomplete", "Issues", "Complete")
 
 

@@ -25,6 +25,7 @@ from tidegate.functions.compare import any_null, apart, data_columns, differs, f
 from tidegate.functions.names import key_list
 from tidegate.operators.dedup import COPIES, one_per_key
 
+# Fixed values.
 MERGE_STRATEGIES = ("merge_date_rows", "merge_update", "merge_insert")
 ROW_INSERTED, ROW_UPDATED = "_date_row_inserted", "_date_row_updated"
 
