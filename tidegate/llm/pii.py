@@ -48,6 +48,8 @@ CUES = {
     "secret": r"token|secret|passw|api.?key|\bkey\b|\bpwd\b|bearer|auth",
 }
 DOUBTS = r"version|isbn|issn|order|invoice|chapter|page|section|sha|md5|commit|hash|id\s*[=:]?\s*$"
+# What a text must hold for a pattern to match at all; most texts are settled by these.
+NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": "[0-9]", "secret": "[0-9]"}
 CONTEXT_CHARS = 24
 LABELERS = ("shape", "check", "gazetteer", "context")
 FEATURES = ("length", "digits", "breaks", "cue", "checked")
@@ -77,6 +79,10 @@ def _found(text: Column, pattern: str) -> Column:
     return F.aggregate(pairs, empty, add, lambda done: done["out"])
 
 
+def _sought(text: Column, kind: str, pattern: str) -> Column:
+    return F.when(text.rlike(NEEDS[kind]), _found(text, pattern)).otherwise(F.array().cast(_SPAN))
+
+
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
@@ -133,11 +139,13 @@ def _spans(docs: DataFrame, text_column: str) -> DataFrame:
     """The frame with __base and __wide: spans that follow the rules, and candidates."""
     text = F.col("__text")
     frame = docs.withColumn("__text", F.coalesce(quoted(text_column).cast("string"), F.lit("")))
-    frame = frame.withColumns({f"__b_{k}": _found(text, p) for k, p in BASE.items()})
-    frame = frame.withColumns({f"__w_{k}": _found(text, p) for k, p in WIDE.items()})
+    frame = frame.withColumns({f"__b_{k}": _sought(text, k, p) for k, p in BASE.items()})
+    frame = frame.withColumns({f"__w_{k}": _sought(text, k, p) for k, p in WIDE.items()})
     base = [_tagged(_passing(f"__b_{k}", k), k, True) for k in BASE]
     # A number of a card's length that fails the checksum is a candidate too.
     like_card = F.filter("__b_card", lambda s: _between(s["match"], 13, 16) & ~_card(s["match"]))
+    # A secret holds a digit; long words do not count.
+    frame = frame.withColumn("__w_secret", F.filter("__w_secret", lambda s: s["match"].rlike("[0-9]")))
     wide = [_tagged(F.col(f"__w_{k}"), k, False) for k in WIDE] + [_tagged(like_card, "card", False)]
     return frame.select(
         *[quoted(c) for c in docs.columns if c != text_column],
