@@ -55,6 +55,17 @@ def test_base_spans_match_brute_force(spark):
             assert [s for s in spans if s in own] == own  # base spans stay, in order
 
 
+def test_ip_parts_may_be_zero(spark):
+    random_ = random.Random(9)
+    ips = ["10.0.0.1", "0.0.0.0", "1.2.3.0", "192.168.000.1", "00.1.2.3", "255.255.255.0", "256.0.0.1", "1.0.0.1000", "0.0.0.00256"]
+    rows = [(i, f"from {ip} on") for i, ip in enumerate(ips)]
+    rows += [(100 + i, "".join(random_.choice([*ips, ".", "0", " "]) for _ in range(9))) for i in range(200)]
+    rows += [(900, "0" * 4_000 + ".0.0.0"), (901, "0.0.0." + "0" * 4_000 + "300"), (902, ".".join(["0" * 4_000] * 4))]
+    got = {r.doc_id: r.n_ip for r in check(spark.createDataFrame(rows, "doc_id long, text string"), rows)}
+    assert [got[i] for i in range(len(ips))] == [1] * 6 + [0] * 3
+    assert got[900] == 1 and got[901] == 0 and got[902] == 1
+
+
 def test_method_adds_secrets(spark):
     rows = [(i, f"call token = {i:08x}{'0123456789abcdef' * 2} now") for i in range(50)]
     got = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
