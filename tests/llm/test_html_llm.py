@@ -1,3 +1,5 @@
+import json
+
 from tidegate.llm.html import aligned, extract, folded, main_texts, parse, shape
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="<p>no</p>";</script></head><body>
@@ -43,6 +45,17 @@ def test_one_host_with_most_pages(spark):
     assert all(r.text.startswith(f"Title {r.page_id} & more\n\nOne two <three>\n\nNext part") for r in got)
 
 
+def test_all_blocks_without_a_region():
+    long = "<p>" + "long text " * 50 + "</p>"
+    page = f"<body><div id=menu>m</div><h1>Title</h1><p>Lead</p><div class=content>{long}</div><p>Closing</p></body>"
+    nested = f"<div><p>A</p><div><p>B</p><div>{long}</div><p>C</p></div></div><p>D</p>"
+    body = ("long text " * 50).strip()
+    other = shape(parse("<article><p>x</p></article>"))
+    for wrapper in (None, json.dumps(shape(parse(page))), json.dumps(other)):
+        assert extract(page, wrapper) == f"Title\n\nLead\n\n{body}\n\nClosing"
+        assert extract(nested, wrapper) == f"A\n\nB\n\n{body}\n\nC\n\nD"
+
+
 def test_alignment():
     def of(html):
         return shape(parse(html))

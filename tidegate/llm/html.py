@@ -315,20 +315,6 @@ def _walk(element: Element, items: list[list], region: str, inside: bool, blocks
             _walk(child, own[3] if own else [], region, inside or bool(region) and _is_region(child.label, region), blocks)
 
 
-def _mass(element: Element) -> int:
-    return sum(len(c) if isinstance(c, str) else 0 if _apart(c.label, False) else _mass(c) for c in element.children)
-
-
-def _densest(root: Element) -> Element:
-    """Without a marked article: the innermost element that holds most of the text."""
-    while True:
-        inner = [(c, _mass(c)) for c in root.children if not isinstance(c, str) and not _apart(c.label, False)]
-        best = max(inner, key=lambda pair: pair[1], default=(None, 0))
-        if best[0] is None or best[0].name in PHRASES or best[1] * 10 < 7 * _mass(root):
-            return root
-        root = best[0]
-
-
 def extract(html: str | None, wrapper: str | None) -> str:
     """The main text of a page by its host's wrapper."""
     if not html:
@@ -337,8 +323,8 @@ def extract(html: str | None, wrapper: str | None) -> str:
     items, region = _labelled(wrapper or "[]")
     if region:
         _walk(root, items, region, False, blocks)
-    if not blocks.found:  # no article on this page
-        _walk(_densest(root), [], "", False, blocks)
+    if not blocks.found:  # no article on this page: all that is not apart
+        _walk(root, [], "", False, blocks)
     return "\n\n".join(blocks.found)
 
 
