@@ -56,6 +56,25 @@ def test_all_blocks_without_a_region():
         assert extract(nested, wrapper) == f"A\n\nB\n\n{body}\n\nC\n\nD"
 
 
+def test_text_that_all_pages_share_is_template(spark):
+    page = "<body><div class=x1>Our site</div><h1>Title {i}</h1><div class=text><p>Text {i}</p><p>Printed here</p></div></body>"
+    pages = [(i, "http://plain.example/", page.format(i=i)) for i in range(4)]
+    pages += [(10 + i, "http://two.example/", page.format(i=i)) for i in range(2)]
+    pages += [(20 + i, "http://copies.example/", page.format(i=0)) for i in range(5)]
+    pages += [(30 + i, "http://marked.example/", "<article>" + page.format(i=i) + "</article>") for i in range(4)]
+    pages += [(40 + i, "http://same.example/", f"<body data-i={i}><p>All the same</p></body>") for i in range(4)]
+    got = {r.page_id: r.text for r in main_texts(rows(spark, pages)).collect()}
+    assert len(got) == len(pages)
+    for i in range(4):
+        assert got[i] == f"Title {i}\n\nText {i}"
+        assert got[30 + i] == f"Our site\n\nTitle {i}\n\nText {i}\n\nPrinted here"
+        assert got[40 + i] == "All the same"
+    for i in range(2):
+        assert got[10 + i] == f"Our site\n\nTitle {i}\n\nText {i}\n\nPrinted here"
+    for i in range(5):
+        assert got[20 + i] == "Our site\n\nTitle 0\n\nText 0\n\nPrinted here"
+
+
 def test_alignment():
     def of(html):
         return shape(parse(html))

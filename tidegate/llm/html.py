@@ -5,8 +5,8 @@ union-free regular expression over such trees: a sequence of elements and slots
 each may be optional or repeated. It starts from one page and is aligned with the next,
 again and again: neighbours of one label become one repeated element, neighbouring groups
 that recur become a repeated group, and what only one side has becomes optional.
-The finished wrapper says for every slot whether it belongs to the article, and pages are read
-by walking their tree along the wrapper.
+The finished wrapper says which kind of main region the host has. A host without any has its
+slots' texts compared between its pages: what all of them share is template, the rest content.
 
 Pages of one shape count once: shapes are made distinct before they are aligned, and the
 shapes of a large host are aligned in salted parts whose wrappers are then aligned with
@@ -15,9 +15,10 @@ each other. Alignment streams over sorted rows and holds one wrapper at a time.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
 from html import unescape
@@ -31,6 +32,8 @@ from tidegate.operators.sizing import settle
 from tidegate.session import cut_lineage
 
 SALTS = 16
+# A text is template if at least so many different pages have its slot, and all the same text in it.
+FEW = 3
 # Elements nested deeper become siblings of the element at this depth; no text is lost.
 DEPTH = 120
 _SMALL = 40_000
@@ -315,19 +318,45 @@ def _walk(element: Element, items: list[list], region: str, inside: bool, blocks
             _walk(child, own[3] if own else [], region, inside or bool(region) and _is_region(child.label, region), blocks)
 
 
-def extract(html: str | None, wrapper: str | None) -> str:
-    """The main text of a page by its host's wrapper."""
+def _digest(*parts: bytes) -> bytes:
+    return hashlib.blake2b(b"\0".join(parts), digest_size=16).digest()
+
+
+def _marked(element: Element, slot: bytes = b"") -> Iterator[tuple[bytes, bytes, str]]:
+    """(slot, mark, text) of the blocks that are not apart: the labels from the root down, and those with the text."""
+    for child in element.children:
+        if not isinstance(child, str):
+            if not _apart(child.label, False):
+                yield from _marked(child, _digest(slot, child.label.encode("utf-8", "replace")))
+        elif text := " ".join(child.split()):
+            yield slot, _digest(slot, text.encode("utf-8", "replace")), text
+
+
+def extract(html: str | None, wrapper: str | None, fixed: Collection[bytes] = ()) -> str:
+    """The main text of a page by its host's wrapper.
+
+    `fixed` holds the marks of a host's template texts. A page that has nothing else keeps them.
+    """
     if not html:
         return ""
     root, blocks = parse(html), _Blocks()
     items, region = _labelled(wrapper or "[]")
     if region:
         _walk(root, items, region, False, blocks)
+    if not blocks.found and fixed:
+        for _, mark, text in _marked(root):
+            if mark not in fixed:
+                blocks.add(text)
     if not blocks.found:  # no article on this page: all that is not apart
         _walk(root, [], "", False, blocks)
     return "\n\n".join(blocks.found)
 
 
+@lru_cache(maxsize=512)
+def _fixed(marks: str | None) -> frozenset[bytes]:
+    return frozenset(bytes.fromhex(m) for m in (marks or "").split())
+
+
 def _host(url: Column) -> Column:
     host = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*+://(?:[^/@?#]*+@)?([^/:?#]*+)", 1)
     return F.coalesce(F.lower(host), F.lit(""))
@@ -378,6 +407,46 @@ def wrappers(pages: DataFrame, url_column: str = "url", html_column: str = "html
     return whole.select("host", F.col("shape").alias("wrapper"))
 
 
+def _without_region(found: DataFrame) -> DataFrame:
+    """The hosts whose wrapper marks no article or main region."""
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [not _labelled(w)[1] for w in batch.column(1).to_pylist()]
+            yield batch.select(["host"]).filter(pa.array(own, pa.bool_()))
+
+    return found.select("host", "wrapper").mapInArrow(plain, "host string")
+
+
+def template_texts(read: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, fixed): marks of the texts that all pages of the host with that slot share.
+
+    A slot is the path of labels to it. Slots of fewer than FEW different pages are content.
+    `read` has host and html, `hosts` the hosts to look at.
+    """
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                page = _digest((html or "").encode("utf-8", "replace"))
+                own = {(slot, mark) for slot, mark, _ in _marked(parse(html or ""))}
+                own |= {(slot, b"") for slot, _ in own}  # the slot itself
+                rows.extend((host, slot, mark, page) for slot, mark in own)
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [pa.string(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "slot", "mark", "page"]
+            )
+
+    chosen = read.select("host", "html").join(hosts.select(F.col("host").alias("__own")), F.col("host") == F.col("__own"))
+    each = chosen.select("host", "html").mapInArrow(marks, "host string, slot binary, mark binary, page binary").distinct()
+    counted = cut_lineage(each.groupBy("host", "slot", "mark").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= FEW))
+    slots = counted.where(F.length("mark") == 0).select("host", "slot", "c")
+    same = counted.where(F.length("mark") > 0).join(slots, ["host", "slot", "c"])
+    return same.groupBy("host").agg(F.collect_list("mark").alias("fixed"))
+
+
 def main_texts(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
 ) -> DataFrame:
@@ -385,9 +454,18 @@ def main_texts(
 
     NULL and empty pages have empty text; pages without a host share one wrapper; repeated
     rows each give their row. Markup of any length and nesting is read whole. Other columns are
-    not read.
+    not read. Where a host's wrapper marks no region, texts that all its pages with that slot
+    share are template and left out (see `template_texts`).
     """
-    found = settle(wrappers(pages, url_column, html_column).select(F.col("host").alias("__host"), "wrapper")).frame
+    inferred = cut_lineage(wrappers(pages, url_column, html_column))
+    plain = settle(_without_region(inferred))
+    marked = inferred.withColumn("fixed", F.array().cast("array<binary>"))
+    if plain.rows:
+        hosted = pages.select(_host(quoted(url_column)).alias("host"), quoted(html_column).cast("string").alias("html"))
+        marked = inferred.join(template_texts(hosted, plain.frame), "host", "left")
+    # As text, so that its size is measured before a broadcast.
+    fixed = F.array_join(F.transform("fixed", F.hex), " ")
+    found = settle(marked.select(F.col("host").alias("__host"), "wrapper", fixed.alias("fixed"))).frame
     read = pages.select(
         quoted(id_column).alias("id"), quoted(url_column).alias("url"), quoted(html_column).cast("string").alias("html"),
         _host(quoted(url_column)).alias("host"),
@@ -396,12 +474,13 @@ def main_texts(
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(h, w) for h, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            columns = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            texts = [extract(h, w, _fixed(f)) for h, w, f in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["id", "url", "text", "n_chars"],
             )
 
-    joined = read.join(found, F.col("host") == F.col("__host"), "left").select("id", "url", "html", "wrapper")
+    joined = read.join(found, F.col("host") == F.col("__host"), "left").select("id", "url", "html", "wrapper", "fixed")
     out = joined.mapInArrow(each, f"id {types['id']}, url {types['url']}, text string, n_chars long")
     return out.select(F.col("id").alias(id_column), F.col("url").alias(url_column), "text", "n_chars")
