@@ -72,6 +72,14 @@ def test_method_adds_secrets(spark):
     assert all("secret:13:53" in r.spans for r in got)
 
 
+def test_secrets_of_any_length(spark):
+    rows = [(i, f"call token = {i:08x}{'0123456789abcdef' * 2} now") for i in range(50)]
+    rows += [(100, f"call token = {'0123456789abcdef' * 8}0 now"), (101, f"call token = {'0123456789abcdef' * 2_000} now")]
+    rows += [(102, "call token = " + "ab" * 64 + "-" + "x" * 200)]  # no digit
+    got = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100] == "secret:13:142" and got[101] == "secret:13:32013" and got[102] == ""
+
+
 def test_empty_table(nothing):
     assert personal_data(nothing).count() == 0
 

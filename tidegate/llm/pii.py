@@ -36,7 +36,7 @@ BASE = {
 WIDE = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[\x20./-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9.-])",
-    "secret": r"(?<![A-Za-z0-9])[A-Za-z0-9]{24,128}+(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])[A-Za-z0-9]{24,}+(?![A-Za-z0-9])",
 }
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 DOMAINS = "com|org|net|edu|gov|int|info|biz|io|eu|uk|us|de|fr|es|it|nl|ch|at|be|pl|se|no|dk|fi|pt|ru|jp|cn|in|br|ca|au"
