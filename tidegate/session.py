@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,9 +56,42 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# The run folder that step copies go to, while a `run_folder` is open.
+_RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark).rstrip('/')}/tidegate/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or the open run folder; nothing is created yet."""
+    parent = _RUN.get() or f"{shared_folder(spark).rstrip('/')}/tidegate"
+    return f"{parent}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it; a missing one is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[None]:
+    """Step copies made inside are removed at the end; `finished` brings a result out."""
+    path = scratch_path(spark, "run")
+    token = _RUN.set(path)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        remove_folder(spark, path)
+
+
+def finished(df: DataFrame) -> DataFrame:
+    """The frame written beside the open run folder, so that it outlives the run's step copies."""
+    spark, path = df.sparkSession, _RUN.get()
+    token = _RUN.set(path.rpartition("/")[0] if path else None)
+    try:
+        return cut_lineage(df)
+    finally:
+        _RUN.reset(token)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -68,3 +104,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "step")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def step_copy(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame as `cut_lineage` gives it, removed at the end: for wide copies read once or twice."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
