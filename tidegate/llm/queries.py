@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tidegate.llm import bpe, decontam, exact, html, lines, lm, minhash, pii, tokens, toxicity
+from pyspark.sql import functions as F
+
+from tidegate.llm import (
+    bpe,
+    decontam,
+    exact,
+    html,
+    lines,
+    lm,
+    metric,
+    minhash,
+    negatives,
+    pii,
+    runs,
+    tokens,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,3 +171,61 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered()
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_duplicate_lines(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_registered()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.with_planted_runs(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return runs.run_digests(runs.periodic_runs(docs))
+
+
+@_registered(
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS x,
+               coalesce(len(embedding), 0) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+               AND len(list_filter(embedding, lambda c: c != 0)) > 0 AS fine
+        FROM embeddings
+    ), e AS (
+        SELECT a.vec_id AS x, b.vec_id AS y
+        FROM v a JOIN v b ON a.fine AND b.fine AND a.vec_id != b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9
+    ), reach AS (
+        SELECT vec_id, vec_id AS root FROM v
+        UNION
+        SELECT e.y, root FROM reach JOIN e ON e.x = reach.vec_id WHERE root < e.y
+    )
+    SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(root) AS component_id, vec_id = min(root) AS kept
+    FROM reach LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM e GROUP BY x) USING (vec_id)
+    GROUP BY vec_id
+    """
+)
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric.near_vectors(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@_registered(
+    """
+    WITH v AS (
+        SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    ), s AS (
+        SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+        FROM v a JOIN v b ON a.id % 100 = 0 AND a.id != b.id
+    ), p AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+           (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY rank <= 5
+    """
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved))
