@@ -19,8 +19,3 @@ def spark():
 def fresh(tmp_path):
     """A folder, and a name for databases that no other test uses."""
     return str(tmp_path), "t" + uuid.uuid4().hex[:10]
-
-
-def rows(df):
-    """The frame's rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

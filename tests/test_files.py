@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tidegate.operators import history
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tidegate.operators import lineage
 from tidegate.plans.propagate import RefreshError, refresh

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -4,7 +4,7 @@ import contextlib
 from collections import Counter
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidegate.operators import quality

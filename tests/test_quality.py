@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from conftest import rows
+from helpers import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
