@@ -1,8 +1,11 @@
 import random
 
+import numpy as np
+
 from odd_rows import ODD_ROWS, clashing
+from pyspark.sql import functions as F
 
-from tidegate.llm.toxicity import THRESHOLD, fit_chain, junk_and_toxic, scored
+from tidegate.llm.toxicity import THRESHOLD, Lasso, drop_toxic, fit_chain, junk_and_toxic, minimised, scored
 
 
 def corpus(spark):
@@ -50,3 +53,37 @@ def test_odd_rows_and_degenerate_labels(spark, odd, nothing):
     assert scored(odd, odd, none).where("rejected").count() == 0
     one_sided = spark.createDataFrame([(1, 1, 0), (1, None, 0), (5, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
     assert scored(odd, odd, one_sided).where("rejected").count() == 0
+
+
+def test_own_columns_stay(spark):
+    docs, labels, _ = corpus(spark)
+    names = ("row", "places", "p0", "p1", "__tf", "rejected", "probability_toxic", "a.b")
+    wide = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    kept = drop_toxic(wide, docs, labels)
+    assert kept.schema == wide.schema
+    want = {r.doc_id for r in scored(docs, docs, labels).where("not rejected").collect()}
+    got = kept.collect()
+    assert {r.doc_id for r in got} == want and all(tuple(r)[2:] == tuple(range(len(names))) for r in got)
+
+
+def test_fit_is_the_lasso_minimum():
+    """No step along any weight lowers the penalised loss: the conditions of the minimum hold."""
+    state = np.random.default_rng(3)
+    n, width, penalty = 400, 30, 0.01
+    x = state.random((n, width)) < 0.3
+    y = (state.random(n) < 1 / (1 + np.exp(-(2.0 * x[:, 0] - 1.5 * x[:, 1])))).astype(float)
+    dense = state.random((n, 1))
+    model = Lasso(penalty).fit([np.flatnonzero(r) for r in x], dense, y)
+    table = np.zeros(width)
+    table[model.held] = model.weights
+    p = 1 / (1 + np.exp(-(x @ table + dense @ model.dense + model.constant)))
+    slope = x.T @ (p - y) / n
+    assert np.all(np.abs(slope[table == 0]) <= penalty + 2e-4)
+    assert np.allclose(slope[table != 0], -penalty * np.sign(table[table != 0]), atol=2e-4)
+    assert abs((p - y).mean()) < 2e-4 and table[0] > 0 > table[1] and (table == 0).sum() > 10
+
+
+def test_minimum_of_a_bowl():
+    centre = np.array([3.0, 0.4, -2.0])
+    found = minimised(lambda x: (float(((x - centre) ** 2).sum() / 2), x - centre), np.zeros(3), np.array([1.0, 1.0, 0.0]))
+    assert np.allclose(found, [2.0, 0.0, -2.0], atol=1e-3)

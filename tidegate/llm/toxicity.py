@@ -4,104 +4,236 @@ Categories are predicted one after the other. The model of each category also se
 probabilities of the earlier ones. For training these are out-of-fold predictions: each row's
 come from a model that has not seen the row, so later models learn to trust them as much
 as they deserve on new texts. Features are the first three to five characters of the
-distinct words, present or not, so the length of a text does not dilute them, and inflected
-forms share them. The lasso penalty leaves weights only where many rows agree.
+distinct words, hashed, present or not, so the length of a text does not dilute them, and
+inflected forms share them. The lasso penalty leaves weights only where many rows agree.
+
+The labelled rows used are bounded in number. A category's fits, one per fold and one of all
+rows, are groups of one Spark job; only the weights that are not zero come to the driver.
+Scoring reads each text once, without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.compare import quoted
 from tidegate.operators.sizing import settle
-from tidegate.session import cut_lineage
+from tidegate.session import cut_lineage, run_folder
 
 # Documented bound: at most about this many labelled rows, chosen by a hash of their id.
 TRAIN_ROWS = 16_000
-# Documented bound of the features; the most frequent ones are taken.
-FEATURES = 1 << 16
+# Places that features are hashed to.
+FEATURES = 1 << 18
 FOLDS = 3
 PENALTY = 3e-4
 THRESHOLD = 0.2
 _SCALE = 1_000_000
-# The training rows are few by their bound; fewer tasks save more than they cost.
-TRAIN_PARTITIONS = 4
+# Quasi-Newton steps at most, and the gain by which a fit has to go on improving.
+_STEPS, _GAIN, _MEMORY = 60, 1e-6, 8
 
 
-def _beginnings(text: Column) -> Column:
+def beginnings(text: Column) -> Column:
+    """The places of a text's features, each once."""
     words = F.array_distinct(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}]+"))
-    return F.flatten(
-        F.transform(words, lambda w: F.array(*[F.substring(w, 1, n) for n in (3, 4, 5)]))
-    )
+    parts = F.flatten(F.transform(words, lambda w: F.array(*[F.substring(w, 1, n) for n in (3, 4, 5)])))
+    return F.array_distinct(F.transform(parts, lambda t: F.pmod(F.xxhash64(t), F.lit(FEATURES)).cast("int")))
+
+
+def minimised(smooth: Callable, start: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    """Orthant-wise limited-memory quasi-Newton minimum of a smooth function plus weighted absolute values.
+
+    `smooth` gives value and gradient.
+    """
+
+    def slopes(x: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        up, down = gradient + penalty, gradient - penalty
+        at_zero = np.where(down > 0, down, np.where(up < 0, up, 0.0))
+        return np.where(x == 0, at_zero, gradient + penalty * np.sign(x))
+
+    x = start.copy()
+    value, gradient = smooth(x)
+    value += float(penalty @ np.abs(x))
+    pairs: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(_STEPS):
+        slope = slopes(x, gradient)
+        if not np.abs(slope).max(initial=0.0) > 1e-9:
+            break
+        way, scales = -slope, []
+        for s, y, r in reversed(pairs):
+            scales.append(r * float(s @ way))
+            way = way - scales[-1] * y
+        if pairs:
+            s, y, r = pairs[-1]
+            way = way / (r * float(y @ y))
+        for (s, y, r), scale in zip(pairs, reversed(scales), strict=True):
+            way = way + (scale - r * float(y @ way)) * s
+        way = np.where(way * slope < 0, way, 0.0)
+        side = np.where(x == 0, -np.sign(slope), np.sign(x))
+        step = 1.0 if pairs else 1.0 / max(1.0, float(np.abs(slope).sum()))
+        for _ in range(30):
+            moved = x + step * way
+            moved[moved * side < 0] = 0.0
+            to, steeper = smooth(moved)
+            to += float(penalty @ np.abs(moved))
+            if to <= value + 1e-4 * float(slope @ (moved - x)):
+                break
+            step /= 2
+        else:
+            break
+        s, y = moved - x, steeper - gradient
+        if float(s @ y) > 1e-12:
+            pairs = [*pairs, (s, y, 1.0 / float(s @ y))][-_MEMORY:]
+        gain, x, value, gradient = value - to, moved, to, steeper
+        if gain <= _GAIN * abs(value):
+            break
+    return x
+
+
+class Lasso:
+    """Logistic regression with a lasso penalty on binary features and some dense columns."""
+
+    def __init__(self, penalty: float = PENALTY):
+        self.penalty = penalty
+
+    def fit(self, places: Sequence[np.ndarray], dense: np.ndarray, y: np.ndarray) -> Lasso:
+        n, extra = len(y), dense.shape[1]
+        sizes = np.fromiter(map(len, places), np.int64, n)
+        flat = np.concatenate(places) if sizes.sum() else np.empty(0, dtype=np.int64)
+        counts = np.bincount(flat, minlength=1)
+        # A feature of fewer rows than this cannot outweigh the penalty.
+        self.held = np.flatnonzero(counts >= max(1.0, self.penalty * n))
+        column = np.full(len(counts), -1)
+        column[self.held] = np.arange(len(self.held))
+        row, place = np.repeat(np.arange(n), sizes), column[flat]
+        row, place = row[place >= 0], place[place >= 0]
+        width = len(self.held)
 
+        def smooth(x: np.ndarray) -> tuple[float, np.ndarray]:
+            z = np.bincount(row, weights=x[place], minlength=n) + dense @ x[width : width + extra] + x[-1]
+            wrong = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
+            value = float((np.logaddexp(0, z) - y * z).mean())
+            out = np.empty(len(x))
+            out[:width] = np.bincount(place, weights=wrong[row], minlength=width)[:width]
+            out[width : width + extra], out[-1] = dense.T @ wrong, wrong.sum()
+            return value, out / n
 
-def _terms(docs: DataFrame, text_column: str) -> DataFrame:
-    return docs.withColumn("__terms", _beginnings(quoted(text_column)))
+        start, weights = np.zeros(width + extra + 1), np.full(width + extra + 1, self.penalty)
+        share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
+        start[-1], weights[-1] = np.log(share / (1 - share)), 0.0
+        x = minimised(smooth, start, weights)
+        self.weights, self.dense, self.constant = x[:width], x[width : width + extra], float(x[-1])
+        return self
+
+    def probability(self, places: Sequence[np.ndarray], dense: np.ndarray) -> np.ndarray:
+        table = np.zeros(FEATURES)
+        table[self.held] = self.weights
+        z = np.array([table[p].sum() for p in places]) + dense @ self.dense + self.constant
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
 @dataclass
-class _Link:
-    """One category's model; a constant if its labels leave nothing to learn."""
+class Link:
+    """One category's model: weights of feature places, of the earlier categories, and a constant.
+
+    Without a constant it gives one fixed probability.
+    """
 
-    model: LogisticRegressionModel | None
-    constant: float
+    places: list[int]
+    weights: list[float]
+    earlier: list[float]
+    constant: float | None
+    fixed: float = 0.0
 
-    def probability(self, frame: DataFrame, features: str, into: str) -> DataFrame:
-        if self.model is None:
-            return frame.withColumn(into, F.lit(self.constant))
-        self.model.setFeaturesCol(features).setProbabilityCol("__p").setPredictionCol("").setRawPredictionCol("")
-        return self.model.transform(frame).withColumn(into, vector_to_array("__p")[1]).drop("__p")
+    def probability(self, flat: np.ndarray, starts: np.ndarray, earlier: list[np.ndarray]) -> np.ndarray:
+        """Of texts whose places lie one after the other, text i's from starts[i] to starts[i + 1]."""
+        if self.constant is None:
+            return np.full(len(starts) - 1, self.fixed)
+        table = np.zeros(FEATURES)
+        table[self.places] = self.weights
+        sums = np.concatenate(([0.0], np.cumsum(table[flat])))
+        z = sums[starts[1:]] - sums[starts[:-1]] + self.constant
+        for weight, column in zip(self.earlier, earlier, strict=True):
+            z = z + weight * column
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _fit(rows: DataFrame, features: str, label: str) -> _Link:
-    seen = {r[0]: r[1] for r in rows.groupBy(label).count().collect() if r[0] is not None}  # at most two values
-    if len(seen) < 2:
-        return _Link(None, float(next(iter(seen), 0)))
-    regression = LogisticRegression(
-        featuresCol=features, labelCol=label, regParam=PENALTY, elasticNetParam=1.0, standardization=False,
-        maxIter=30, tol=1e-4,
-    )
-    return _Link(regression.fit(rows.where(F.col(label).isNotNull())), 0.0)
+def _payload(docs: DataFrame) -> Column:
+    return F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row")
 
 
-def _chained(frame: DataFrame, earlier: Sequence[str]) -> tuple[DataFrame, str]:
-    """The frame with the words' and the earlier categories' features in one vector."""
-    if not earlier:
-        return frame, "__tf"
-    parts = ["__tf", *earlier]
-    return VectorAssembler(inputCols=parts, outputCol="__all").transform(frame), "__all"
+def _own(docs: DataFrame) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in docs.columns]
 
 
 @dataclass
 class ToxicityChain:
     categories: list[str]
-    features: CountVectorizerModel | None
-    links: list[_Link]
+    links: list[Link]
+
+    def _judged(self, docs: DataFrame, text_column: str) -> DataFrame:
+        """row (all of the input's columns) and p0, p1, ...: a probability per category."""
+        links = self.links
+
+        @F.pandas_udf("array<double>")
+        def judged(places: pd.Series) -> pd.Series:
+            starts = np.concatenate(([0], np.cumsum(places.map(len).to_numpy(dtype=np.int64))))
+            flat = np.concatenate(places.tolist()) if starts[-1] else np.empty(0, dtype=np.int64)
+            found: list[np.ndarray] = []
+            for link in links:
+                found.append(link.probability(flat, starts, found))
+            return pd.Series(list(np.stack(found, axis=1)), index=places.index)
+
+        frame = docs.select(_payload(docs), judged(beginnings(quoted(text_column))).alias("p"))
+        return frame.select("row", *[F.get("p", i).alias(f"p{i}") for i in range(len(links))])
 
     def score(self, docs: DataFrame, text_column: str = "text") -> DataFrame:
         """The frame with one column probability_<category> per category, in the chain's order.
 
         NULL and empty texts get the probabilities of a text without words. Input columns of
-        those names are replaced; all others and all rows stay.
+        those names are replaced; all others and all rows stay, repeated rows too.
         """
-        held = docs.drop(*[f"probability_{c}" for c in self.categories])
-        if self.features is None:
-            constants = {f"probability_{c}": F.lit(k.constant) for c, k in zip(self.categories, self.links, strict=True)}
-            return held.withColumns(constants)
-        frame = self.features.transform(_terms(held, text_column)).drop("__terms")
-        earlier: list[str] = []
-        for category, link in zip(self.categories, self.links, strict=True):
-            frame, features = _chained(frame, earlier)
-            frame = link.probability(frame, features, f"probability_{category}").drop("__all")
-            earlier.append(f"probability_{category}")
-        return frame.drop("__tf")
+        named = [f"probability_{c}" for c in self.categories]
+        kept = docs.drop(*named)
+        frame = self._judged(kept, text_column)
+        return frame.select(*_own(kept), *[F.col(f"p{i}").alias(n) for i, n in enumerate(named)])
+
+    def without(self, docs: DataFrame, category: str, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
+        """The rows whose probability of the category is below the threshold, with all their own columns."""
+        frame = self._judged(docs, text_column)
+        return frame.where(F.col(f"p{self.categories.index(category)}") < threshold).select(*_own(docs))
+
+
+def _fits(rows: DataFrame, y: str, folds: Sequence[int]) -> DataFrame:
+    """Weights (place, value) and predictions (row, value) of the models of the given parts.
+
+    Part k leaves fold k out and predicts it; part -1 is of all rows and predicts none. Places
+    below 0 are -1 for the constant, -2 and on for the earlier categories.
+    """
+
+    def each(part: pd.DataFrame) -> pd.DataFrame:
+        k = int(part["part"].iloc[0])
+        known = part[part["y"].notna() & (part["fold"] != k)]
+        dense = np.array(known["earlier"].tolist(), dtype=float).reshape(len(known), -1)
+        model = Lasso().fit(known["places"].tolist(), dense, known["y"].to_numpy())
+        if k >= 0:
+            due = part[part["fold"] == k]
+            dense = np.array(due["earlier"].tolist(), dtype=float).reshape(len(due), -1)
+            found = model.probability(due["places"].tolist(), dense)
+            return pd.DataFrame({"part": k, "row": due["row"].to_numpy(), "place": 0, "value": found})
+        used = np.flatnonzero(model.weights)
+        places = np.concatenate((model.held[used], -2 - np.arange(len(model.dense)), [-1]))
+        values = np.concatenate((model.weights[used], model.dense, [model.constant]))
+        return pd.DataFrame({"part": k, "row": -1, "place": places, "value": values})
+
+    parts = rows.select("row", "fold", F.col(y).alias("y"), "places", "earlier", F.explode(F.lit([*folds])).alias("part"))
+    fits = parts.groupBy("part").applyInPandas(each, "part int, row long, place int, value double")
+    return cut_lineage(fits)
 
 
 def fit_chain(
@@ -116,44 +248,44 @@ def fit_chain(
     """Train the chain on labelled documents; `labels` has the id and a 0/1 column per category.
 
     Labels that repeat an id count once, by their largest value; NULL labels are passed over
-    and ids without a document are ignored. Of more than `train_rows` labelled rows about that
-    many are taken. A category without both kinds of rows gets a constant.
+    and ids without a document are ignored; documents that repeat an id are rows of their own. Of more
+    than `train_rows` labelled rows about that many are taken. A category without both kinds of rows
+    gets a constant probability, 0 if nothing is known.
     """
-    known = labels.where(quoted(id_column).isNotNull()).groupBy(quoted(id_column).alias("__id")).agg(
-        *[F.max(quoted(c)).cast("double").alias(f"__y_{i}") for i, c in enumerate(categories)]
-    )
-    count = max(1, known.count())
-    share = min(_SCALE, _SCALE * train_rows // count)
-    taken = settle(known.where(F.pmod(F.xxhash64("__id"), F.lit(_SCALE)) < share)).frame
-    texts = docs.select(quoted(id_column).alias("__id"), quoted(text_column).alias("__text"))
-    fold = F.pmod(F.crc32(F.concat(F.lit("fold "), F.col("__id").cast("string"))), F.lit(folds)).alias("__fold")
-    rows = cut_lineage(_terms(texts.join(taken, "__id"), "__text").drop("__text").withColumn("__fold", fold))
-    held = rows.count()
-    if not held:
-        return ToxicityChain(list(categories), None, [_Link(None, 0.0)] * len(categories))
-    # A beginning in fewer rows than this cannot outweigh the penalty.
-    least = max(1.0, PENALTY * held)
-    vectors = CountVectorizer(inputCol="__terms", outputCol="__tf", minDF=least, vocabSize=FEATURES, binary=True)
-    model = vectors.fit(rows)
-    rows = cut_lineage(model.transform(rows).drop("__terms").coalesce(TRAIN_PARTITIONS))
-
-    links: list[_Link] = []
-    earlier: list[str] = []
-    for i, category in enumerate(categories):
-        frame, features = _chained(rows, earlier)
-        label = f"__y_{i}"
-        links.append(_fit(frame, features, label))
-        if i + 1 == len(categories):
-            break
-        # Out-of-fold predictions, for the later models only.
-        into, parts = f"probability_{category}", None
-        for k in range(folds):
-            other = _fit(frame.where(F.col("__fold") != k), features, label)
-            part = other.probability(frame.where(F.col("__fold") == k), features, into).drop("__all")
-            parts = part if parts is None else parts.unionByName(part)
-        rows = cut_lineage(parts.coalesce(TRAIN_PARTITIONS))
-        earlier.append(into)
-    return ToxicityChain(list(categories), model, links)
+    with run_folder(docs.sparkSession):
+        known = labels.where(quoted(id_column).isNotNull()).groupBy(quoted(id_column).alias("id")).agg(
+            *[F.max(quoted(c)).cast("double").alias(f"y{i}") for i, c in enumerate(categories)]
+        )
+        count = max(1, known.count())
+        share = min(_SCALE, _SCALE * train_rows // count)
+        taken = settle(known.where(F.pmod(F.xxhash64("id"), F.lit(_SCALE)) < share)).frame
+        texts = docs.select(quoted(id_column).alias("id"), quoted(text_column).alias("text"))
+        fold = F.pmod(F.crc32(F.concat(F.lit("fold "), F.col("id").cast("string")).cast("binary")), F.lit(folds))
+        ys = [f"y{i}" for i in range(len(categories))]
+        rows = texts.join(taken, "id").select(
+            F.monotonically_increasing_id().alias("row"), fold.cast("int").alias("fold"), *ys, beginnings(F.col("text")).alias("places")
+        )
+        rows = cut_lineage(rows).withColumn("earlier", F.array().cast("array<double>"))
+
+        links: list[Link] = []
+        for i, y in enumerate(ys):
+            seen = {r[0] for r in rows.select(y).where(f"{y} is not null").distinct().collect()}  # two values at most
+            last = i + 1 == len(ys)
+            if len(seen) < 2:
+                fixed = float(next(iter(seen), 0.0))
+                links.append(Link([], [], [], None, fixed))
+                rows = rows.withColumn("earlier", F.array_append("earlier", F.lit(fixed)))
+                continue
+            # A fold may lack a kind of label; the constant of such a fit is bounded, so it stays defined.
+            fits = _fits(rows, y, [-1] if last else [-1, *range(folds)])
+            found = {r.place: r.value for r in fits.where("part = -1").collect()}
+            places = sorted(p for p in found if p >= 0)
+            links.append(Link(places, [found[p] for p in places], [found[-2 - k] for k in range(i)], found[-1]))
+            if not last:
+                out = fits.where("part >= 0").select("row", F.col("value").alias("p"))
+                rows = rows.join(out, "row").withColumn("earlier", F.array_append("earlier", F.col("p"))).drop("p")
+                rows = cut_lineage(rows)
+        return ToxicityChain(list(categories), links)
 
 
 def junk_and_toxic(labels: DataFrame) -> DataFrame:
@@ -161,7 +293,21 @@ def junk_and_toxic(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", (1 - F.col("quality")).alias("junk"), F.col("toxic"))
 
 
+def _chain(labelled: DataFrame, labels: DataFrame) -> ToxicityChain:
+    return fit_chain(labelled, junk_and_toxic(labels), ["junk", "toxic"])
+
+
 def scored(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` with probability_junk, probability_toxic and rejected, by a chain fitted on `labelled`."""
-    chain = fit_chain(labelled, junk_and_toxic(labels), ["junk", "toxic"])
-    return chain.score(docs).withColumn("rejected", F.col("probability_toxic") >= THRESHOLD)
+    """`docs` with probability_junk, probability_toxic and rejected, by a chain fitted on `labelled`.
+
+    `labels` has doc_id, quality and toxic (0/1). Columns of `docs` with those names are replaced. Every
+    row of `docs` is judged by its own text, NULL like an empty one; without labels nothing is
+    rejected. No rows give no rows.
+    """
+    found = _chain(labelled, labels).score(docs.drop("rejected"))
+    return found.withColumn("rejected", F.col("probability_toxic") >= THRESHOLD)
+
+
+def drop_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` that `scored` would not reject, with their own columns, whatever their names."""
+    return _chain(labelled, labels).without(docs, "toxic")
