@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidegate.llm import bpe, decontam, exact, minhash, toxicity
 from tidegate.session import cut_lineage
@@ -13,8 +12,7 @@ from tidegate.session import cut_lineage
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain rejects go; it is trained on the labelled documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
-    scored = toxicity.scored(docs, docs.select("doc_id", "text"), labels)
-    return scored.where(~F.col("rejected")).select(docs.columns)
+    return toxicity.drop_toxic(docs, docs.select("doc_id", "text"), labels)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
