@@ -73,7 +73,7 @@ def test_fit_is_the_lasso_minimum():
     x = state.random((n, width)) < 0.3
     y = (state.random(n) < 1 / (1 + np.exp(-(2.0 * x[:, 0] - 1.5 * x[:, 1])))).astype(float)
     dense = state.random((n, 1))
-    model = Lasso(penalty).fit([np.flatnonzero(r) for r in x], dense, y)
+    model = Lasso(penalty, 1e-9).fit([np.flatnonzero(r) for r in x], dense, y)
     table = np.zeros(width)
     table[model.held] = model.weights
     p = 1 / (1 + np.exp(-(x @ table + dense @ model.dense + model.constant)))
@@ -85,5 +85,5 @@ def test_fit_is_the_lasso_minimum():
 
 def test_minimum_of_a_bowl():
     centre = np.array([3.0, 0.4, -2.0])
-    found = minimised(lambda x: (float(((x - centre) ** 2).sum() / 2), x - centre), np.zeros(3), np.array([1.0, 1.0, 0.0]))
+    found = minimised(lambda x: (float(((x - centre) ** 2).sum() / 2), x - centre), np.zeros(3), np.array([1.0, 1.0, 0.0]), 1e-9)
     assert np.allclose(found, [2.0, 0.0, -2.0], atol=1e-3)
