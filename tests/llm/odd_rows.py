@@ -27,7 +27,7 @@ def clashing(docs):
     from pyspark.sql import functions as F
 
     names = ("id", "sha", "kept", "keep_id", "mark", "words", "n", "digest", "root", "at", "payload", "held", "__id",
-             "word", "score", "probability_toxic", "rejected", "group_size", "a.b")
+             "word", "__bad", "__bad_mark", "bad", "row", "score", "probability_toxic", "rejected", "group_size", "a.b")
     return docs.select("*", *[F.lit("other").alias(n) for n in names])
 
 

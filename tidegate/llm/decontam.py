@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.compare import quoted
+from tidegate.llm.payload import as_row, own_columns
 from tidegate.operators.sizing import settle
 from tidegate.session import cut_lineage
 
@@ -196,6 +197,7 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows without any hit word, with all their columns, each judged by its own text."""
     found = _contamination(docs, benchmark, id_column, text_column, item_column, item_text_column, window)
-    bad = found.where("n_hit > 0").select(F.col("doc").alias("__bad"), F.col("mark").alias("__bad_mark")).distinct()
-    same = quoted(id_column).eqNullSafe(F.col("__bad")) & (_mark(text_column) == F.col("__bad_mark"))
-    return docs.join(settle(bad).frame, same, "left_anti")
+    bad = found.where("n_hit > 0").select(F.col("doc").alias("bad"), F.col("mark").alias("bad_mark")).distinct()
+    rows = docs.select(as_row(docs), quoted(id_column).alias("id"), _mark(text_column).alias("mark"))
+    same = F.expr("id <=> bad and mark = bad_mark")
+    return rows.join(settle(bad).frame, same, "left_anti").select(*own_columns(docs))

@@ -7,8 +7,10 @@
 3. Pairs whose signatures make the similarity implausible are dropped; the others are
    confirmed on the full sets, and components are formed.
 4. Buckets that still hold several components may hide links between members other than the
-   smallest. Those classes are joined exactly by a prefix filter with size and position
-   bounds, in which a pair is only formed across components.
+   smallest. In a few turns their members meet another hub each, a member of the bucket's most
+   frequent component, which connects most of what belongs together at a linear cost. What
+   is open then is joined exactly by a prefix filter with size and position bounds, in which
+   a pair is only formed across components; its pairs are confirmed on full sets at once.
 5. Components of all confirmed links; a document's component is named by its smallest id.
 """
 
@@ -25,10 +27,10 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.compare import quoted
 from tidegate.llm.components import components
+from tidegate.llm.payload import as_row, own_columns
 from tidegate.llm.shingles import UniversalHashes, overlap, shingle_set
 from tidegate.operators.sizing import settle
-from tidegate.session import cut_lineage, scratch_path
-from tidegate.sources.tables import remove_folder
+from tidegate.session import cut_lineage, finished, run_folder, step_copy
 
 SHINGLE_WORDS = 5
 SEED = 20_011
@@ -36,6 +38,8 @@ SEED = 20_011
 MISS, HASHES = 1e-6, 256
 # Bytes of one minimum in a signature.
 WIDE = 2
+# Turns in which members of undecided buckets meet another hub before the prefix join.
+ROUNDS = 3
 _CHUNK = 1 << 15
 
 
@@ -257,18 +261,20 @@ def near_duplicates(
 
 def _decided(docs: DataFrame, percent: int, id_column: str, text_column: str, width: int) -> DataFrame:
     """id, mark (of the text), n and component of every row."""
+    with run_folder(docs.sparkSession):
+        return finished(_named(docs, percent, id_column, text_column, width))
+
+
+def _named(docs: DataFrame, percent: int, id_column: str, text_column: str, width: int) -> DataFrame:
     rows, bands = banding(percent)
     count = rows * bands
-    wide = scratch_path(docs.sparkSession, "profiles")
-    _profiles(docs, id_column, text_column, width, count).write.parquet(wide)
-    profile = docs.sparkSession.read.parquet(wide)
-    narrow = cut_lineage(profile.select("id", "mark", "n", "digest"))
-    classes = cut_lineage(
-        profile.where("n > 0")
-        .groupBy("digest")
-        .agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("id", "mark")).alias("rep"))
-    )
-    remove_folder(docs.sparkSession, wide)  # nothing that follows goes back to it
+    with step_copy(_profiles(docs, id_column, text_column, width, count)) as profile:
+        narrow = cut_lineage(profile.select("id", "mark", "n", "digest"))
+        classes = cut_lineage(
+            profile.where("n > 0")
+            .groupBy("digest")
+            .agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("id", "mark")).alias("rep"))
+        )
     found = _links(docs, classes, percent, id_column, text_column, width, rows, bands)
     if found is None:
         rooted = narrow.withColumn("root", F.col("digest"))
@@ -327,20 +333,44 @@ def links_between(
     screened = cut_lineage(_screened(pairs, held, percent, count))
     links = cut_lineage(_confirmed(screened, sets, percent))
     stars = components(links)
-    rooted = cut_lineage(
-        members.join(stars, F.col("digest") == F.col("node"), "left").select(
-            "key", "digest", F.coalesce("root", "digest").alias("root")
-        )
-    )
-    undecided = cut_lineage(
-        rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
-    )
-    open_nodes = cut_lineage(rooted.join(undecided, "key").select("digest", "root").distinct())
+    for turn in range(ROUNDS):
+        rooted = cut_lineage(_rooted(members, stars))
+        pairs = cut_lineage(_hub_pairs(rooted, turn))
+        if pairs.isEmpty():
+            return links
+        more = cut_lineage(_confirmed(cut_lineage(_screened(pairs, held, percent, count)), sets, percent))
+        if more.isEmpty():
+            continue  # another turn's hubs may have more luck
+        links = links.unionByName(more)
+        stars = components(links)
+    rooted = cut_lineage(_rooted(members, stars))
+    undecided = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
+    open_nodes = cut_lineage(rooted.join(cut_lineage(undecided), "key").select("digest", "root").distinct())
     if open_nodes.isEmpty():
         return links
     crossing = cut_lineage(_prefix_pairs(sets, open_nodes, percent))
-    more = _confirmed(cut_lineage(_screened(crossing, held, percent, count)), sets, percent)
-    return links.unionByName(more)
+    return links.unionByName(_confirmed(crossing, sets, percent))
+
+
+def _rooted(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """key, digest and root of the buckets' members."""
+    found = members.join(stars, F.col("digest") == F.col("node"), "left")
+    return found.select("key", "digest", F.coalesce("root", "digest").alias("root"))
+
+
+def _hub_pairs(rooted: DataFrame, turn: int) -> DataFrame:
+    """Pairs (u, v) of the buckets that still hold several roots: all members of the smaller
+    roots with one member of the most frequent one, another in each turn."""
+    chance = F.xxhash64(F.lit(turn), "digest")
+    roots = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.min_by("digest", chance).alias("hub"))
+    main = (
+        roots.groupBy("key")
+        .agg(F.max_by(F.struct("root", "hub"), F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
+        .where("roots > 1")
+        .select("key", F.col("m.root").alias("main"), F.col("m.hub").alias("hub"))
+    )
+    odd = rooted.join(cut_lineage(main), "key").where("root != main")
+    return odd.select(F.least("digest", "hub").alias("u"), F.greatest("digest", "hub").alias("v")).distinct()
 
 
 def drop_near_copies(
@@ -349,6 +379,7 @@ def drop_near_copies(
     """The rows that `near_duplicates` keeps, with all their columns, each judged by its own text."""
     found = _decided(docs, percent, id_column, text_column, SHINGLE_WORDS)
     gone = found.where(~F.col("id").eqNullSafe(F.col("component")))
-    bad = settle(gone.select(F.col("id").alias("__bad"), F.col("mark").alias("__bad_mark")).distinct()).frame
+    bad = settle(gone.select(F.col("id").alias("bad"), F.col("mark").alias("bad_mark")).distinct()).frame
     mark = F.xxhash64(F.coalesce(quoted(text_column).cast("string"), F.lit("")))
-    return docs.join(bad, quoted(id_column).eqNullSafe(F.col("__bad")) & (mark == F.col("__bad_mark")), "left_anti")
+    rows = docs.select(as_row(docs), quoted(id_column).alias("id"), mark.alias("mark"))
+    return rows.join(bad, F.expr("id <=> bad and mark = bad_mark"), "left_anti").select(*own_columns(docs))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.compare import quoted
+from tidegate.llm.payload import as_row, own_columns
 from tidegate.operators.sizing import settle
 from tidegate.session import cut_lineage, run_folder
 
@@ -164,14 +165,6 @@ class Link:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _payload(docs: DataFrame) -> Column:
-    return F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row")
-
-
-def _own(docs: DataFrame) -> list[Column]:
-    return [F.col("row").getField(c).alias(c) for c in docs.columns]
-
-
 @dataclass
 class ToxicityChain:
     categories: list[str]
@@ -190,7 +183,7 @@ class ToxicityChain:
                 found.append(link.probability(flat, starts, found))
             return pd.Series(list(np.stack(found, axis=1)), index=places.index)
 
-        frame = docs.select(_payload(docs), judged(beginnings(quoted(text_column))).alias("p"))
+        frame = docs.select(as_row(docs), judged(beginnings(quoted(text_column))).alias("p"))
         return frame.select("row", *[F.get("p", i).alias(f"p{i}") for i in range(len(links))])
 
     def score(self, docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -202,12 +195,12 @@ class ToxicityChain:
         named = [f"probability_{c}" for c in self.categories]
         kept = docs.drop(*named)
         frame = self._judged(kept, text_column)
-        return frame.select(*_own(kept), *[F.col(f"p{i}").alias(n) for i, n in enumerate(named)])
+        return frame.select(*own_columns(kept), *[F.col(f"p{i}").alias(n) for i, n in enumerate(named)])
 
     def without(self, docs: DataFrame, category: str, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
         """The rows whose probability of the category is below the threshold, with all their own columns."""
         frame = self._judged(docs, text_column)
-        return frame.where(F.col(f"p{self.categories.index(category)}") < threshold).select(*_own(docs))
+        return frame.where(F.col(f"p{self.categories.index(category)}") < threshold).select(*own_columns(docs))
 
 
 def _fits(rows: DataFrame, y: str, folds: Sequence[int]) -> DataFrame:
