@@ -37,6 +37,8 @@ class TableContract:
     # Key columns the table is partitioned by. Since they are part of the key, a merge
     # touches only partitions that the incoming rows name, and rewrites only those.
     partition_by: tuple[str, ...] = ()
+    # What a replace takes as one delivery, the last of which stays: a "file", or the part files of a "folder".
+    delivery: str = "file"
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "keys", tuple(key_list(self.keys)))
@@ -67,6 +69,8 @@ class TableContract:
             found.append(f"partition columns {stray} must be key columns")
         if self.absent not in ("null", "keep"):
             found.append(f"absent must be 'null' or 'keep', not {self.absent!r}")
+        if self.delivery not in ("file", "folder"):
+            found.append(f"delivery must be 'file' or 'folder', not {self.delivery!r}")
         if self.absent == "keep" and self.format == "json":
             found.append("absent='keep' needs a header: JSON rows do not tell which columns a file lacks")
         return found

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.compare import any_null, apart, filter_join, keys_equal, quoted
 from tidegate.functions.names import key_list
-from tidegate.operators.dedup import COPIES, one_per_key
+from tidegate.operators.dedup import has_copies
 
 _UP = "__up_"
 
@@ -30,19 +30,20 @@ def update_from(
     updates: DataFrame,
     keys: str | Sequence[str],
     changes: Mapping[str, Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Update rows whose key occurs in `updates`; the job fails if a key occurs there twice.
+    """Update rows whose key occurs in `updates`; a key that occurs there twice is an error.
 
     `changes` maps a column to an expression over the row and, as `new(name)`, over
     the matching update; by default every non-key column of `updates` is taken over.
+    `unique` vouches that no key occurs twice; otherwise one job counts the keys first.
     """
     keys = key_list(keys)
     if changes is None:
         changes = {c: new(c) for c in updates.columns if c not in keys}
-    single = one_per_key(updates, keys, "any")
-    message = F.lit(f"several updates share a key {list(keys)}")
-    repeated = F.when((quoted(COPIES) > 1) & ~any_null(keys), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    side = single.where(repeated).select(
+    if not unique and has_copies(updates, keys):
+        raise ValueError(f"several updates share a key {list(keys)}")
+    side = updates.where(~any_null(keys)).select(
         *[(apart(c) if c in keys else quoted(c)).alias(_UP + c) for c in updates.columns], F.lit(True).alias(_UP + "hit")
     )
     joined = df.join(side, keys_equal(keys, [_UP + k for k in keys]), "left")

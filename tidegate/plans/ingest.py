@@ -3,17 +3,19 @@
     list -> register -> header audit -> stage -> mark -> quarantine / load -> complete
 
 Each step is one plan over the whole batch. Step results that later steps read more
-than once (staged rows, marked rows) are written below the store's shared root, so a
-lost executor repeats a step at most, and a restart of the same batch goes on from the
-last step that finished.
+than once (staged rows, marked rows, a table's next state) are written below the store's
+shared root, so a lost executor repeats a step at most, and a restart of the same batch
+goes on from the last step that finished. The ledger is appended to, a few events per file
+and step; only the events of the batch's own files are folded to see where they are.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,16 +26,18 @@ from tidegate.functions.compare import filter_join, quoted
 from tidegate.functions.marks import stamp
 from tidegate.operators import ledger as book
 from tidegate.operators import quality
-from tidegate.operators.dedup import from_one_file
+from tidegate.operators.dedup import from_one_file, has_copies
 from tidegate.operators.evolve import align
-from tidegate.operators.merge import has_copies, load, merge
-from tidegate.session import cut_lineage
+from tidegate.operators.merge import load, new_rows
+from tidegate.operators.sizing import outgrows_broadcast
+from tidegate.session import cut_lineage, remove_folder, step_copy
 from tidegate.sources import tables
 from tidegate.sources.files import list_files, literal_path
 from tidegate.sources.headers import audit, violations
 from tidegate.sources.scan import (
     FILE_NAME,
     FILE_TIME,
+    FOLDER,
     HASH,
     INCREMENT,
     PRESENT,
@@ -45,7 +49,8 @@ from tidegate.sources.scan import (
 )
 
 CLEAN = "__clean"
-
+# Strategies that add rows to a table and leave those there as they are.
+ADDING = ("insert", "merge_insert", "replace")
 
 # The files of a staged batch.
 LISTED = "source string, table string, file_name string, path string, run string"
@@ -62,30 +67,52 @@ class Store:
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def ledger(self) -> DataFrame:
-        tables.create(self.spark, self.ledger_name, book.SCHEMA, self.path("ledger"))
+    def events(self) -> DataFrame:
+        """What the ledger is made of, partitioned by source and table."""
+        tables.create(self.spark, self.ledger_name, book.EVENTS, self.path("ledger"), ("source", "table"))
         return tables.read(self.spark, self.ledger_name)
 
-    def save_ledger(self, state: DataFrame) -> None:
-        tables.publish(self.spark, self.ledger_name, state, self.path("ledger"))
+    def ledger(self, contract: TableContract | None = None) -> DataFrame:
+        """The ledger, or the part of one table, which is all that is read then."""
+        events = self.events()
+        if contract is not None:
+            events = events.where((F.col("source") == contract.source) & (F.col("table") == contract.table))
+        return book.fold(events)
+
+    def entries(self, contract: TableContract, files: DataFrame) -> DataFrame:
+        """The ledger's entries of these files of one table."""
+        events = self.events().where((F.col("source") == contract.source) & (F.col("table") == contract.table))
+        return book.fold(book.of_files(events, files))
+
+    def sequence(self) -> int:
+        """The place of what is recorded next; later calls give larger numbers."""
+        return time.time_ns()
+
+    def record(self, events: DataFrame) -> None:
+        """Append events to the ledger. A repeat of the same events changes nothing."""
+        self.events()
+        tables.append(self.spark, self.ledger_name, events)
+
+    def compact(self, contract: TableContract) -> None:
+        """One or two events per entry of a table in place of all that were recorded.
+
+        For a time when nothing else is recorded of that table.
+        """
+        with step_copy(book.events_of(self.ledger(contract), self.sequence())) as complete:
+            tables.replace_partitions(self.spark, self.ledger_name, complete)
 
     def table_name(self, contract: TableContract) -> str:
         return f"{contract.source}.{contract.table}"
 
     def table(self, contract: TableContract) -> DataFrame:
         """The loaded table; created, or given the columns it lacks, as the contract asks."""
-        name = self.table_name(contract)
-        tables.create(self.spark, name, contract.table_schema, self.table_root(contract), contract.partition_by)
-        held = {c.lower() for c in tables.read(self.spark, name).columns}
-        lacking = [f for f in contract.table_schema.fields if f.name.lower() not in held]
-        if lacking:
-            tables.evolve(self.spark, name, lacking)
-        return tables.read(self.spark, name)
-
-    def expire(self, contract: TableContract, older_than: timedelta) -> int:
-        """Remove files of earlier states of the table and of the ledger; returns how many folders."""
-        roots = (self.table_root(contract), self.path("ledger"))
-        return sum(tables.expire(self.spark, root, older_than) for root in roots)
+        self._open(contract)
+        return tables.read(self.spark, self.table_name(contract))
+
+    def _open(self, contract: TableContract) -> None:
+        # Tables that rows are added to keep loads apart, so that a repeated load replaces itself.
+        by = ([tables.LOAD] if contract.strategy in ADDING else []) + list(contract.partition_by)
+        tables.create(self.spark, self.table_name(contract), contract.table_schema, self.table_root(contract), by)
 
     def table_root(self, contract: TableContract) -> str:
         return self.path("source", contract.source, contract.table)
@@ -132,7 +159,7 @@ def ingest_batch(
     )
     _refuse_same_names(files)
     claimed = files.select(*book.FILE)
-    store.save_ledger(book.register(store.ledger(), claimed, at).ledger)
+    store.record(book.register_events(store.entries(contract, claimed), claimed, at, store.sequence()))
     refused = None
 
     listed_at, staged_at = store.step("listed", contract, batch_id), store.step("staged", contract, batch_id)
@@ -142,11 +169,11 @@ def ingest_batch(
         files = accepted.drop("run")
     else:
         if not again:
-            todo = book.unfinished(store.ledger(), claimed, "inserted")
+            todo = book.unfinished(store.entries(contract, claimed), claimed, "inserted")
             files = files.join(todo.select(*book.FILE), list(book.FILE), "left_semi")
         files = cut_lineage(files)
         if files.isEmpty():
-            return Outcome(None, None, book.lookup(store.ledger(), claimed))
+            return Outcome(None, None, book.lookup(store.entries(contract, claimed), claimed))
         accepted = files
         if contract.has_header:
             audited = cut_lineage(audit(files, contract))
@@ -173,7 +200,7 @@ def ingest_batch(
         stopped = stopped.withColumnRenamed(FILE_NAME, "file_name")
         accepted = accepted.join(stopped, "file_name", "left_anti")
         gone = files.join(stopped, "file_name", "left_semi")
-        store.save_ledger(book.drop_entries(store.ledger(), gone))
+        store.record(book.drop_events(store.entries(contract, gone), gone, at, store.sequence()))
     read = book.count_rows(_as_entries(staged, contract))
     # Files without a row have a count too: zero.
     entries = cut_lineage(
@@ -181,12 +208,13 @@ def ingest_batch(
         .join(read, list(book.ENTRY), "left")
         .fillna(0, ["rows_read"])
     )
-    store.save_ledger(book.advance(store.ledger(), entries, ["archived", "staged"], at, rows_read=True))
+    held = store.entries(contract, entries)
+    store.record(book.advance_events(held, entries, ["archived", "staged"], at, store.sequence(), rows_read=True))
 
     failures = _test_and_load(store, contract, staged, entries, run, at)
-    tables.remove_folder(spark, staged_at)
-    tables.remove_folder(spark, listed_at)
-    return Outcome(refused, failures, book.lookup(store.ledger(), claimed))
+    remove_folder(spark, staged_at)
+    remove_folder(spark, listed_at)
+    return Outcome(refused, failures, book.lookup(store.entries(contract, claimed), claimed))
 
 
 def _refuse_same_names(files: DataFrame) -> None:
@@ -211,12 +239,7 @@ def ingest_review(
     """
     review = store.review(contract).drop("batch")
     waiting = cut_lineage(
-        store.ledger().where(
-            (F.col("source") == contract.source)
-            & (F.col("table") == contract.table)
-            & (F.col("increment") > 0)
-            & F.col("date_completed").isNull()
-        )
+        store.ledger(contract).where((F.col("increment") > 0) & F.col("date_completed").isNull())
     )
     attempts = waiting.select(F.col("file_name").alias(FILE_NAME), F.col("increment").alias(INCREMENT))
     due = filter_join(review, attempts, [FILE_NAME, INCREMENT], "left_semi")
@@ -225,7 +248,7 @@ def ingest_review(
     mark = waiting.agg(F.coalesce(F.bit_xor(F.xxhash64(*book.ENTRY)), F.lit(0))).first()[0]
     run = f"{batch_id}.review-{mark & 0xFFFFFFFFFFFF:012x}"
     failures = _test_and_load(store, contract, fixed, waiting.select(*book.ENTRY), run, at)
-    return Outcome(None, failures, book.lookup(store.ledger(), waiting))
+    return Outcome(None, failures, book.lookup(store.entries(contract, waiting), waiting))
 
 
 def _as_entries(staged: DataFrame, contract: TableContract, *more: str) -> DataFrame:
@@ -260,15 +283,18 @@ def _test_and_load(
     failing.withColumn(INCREMENT, F.col(INCREMENT) + 1).write.mode("overwrite").parquet(
         store.step("review", contract, run)
     )
-    state = book.advance(store.ledger(), entries, "cleaned", at)
+    held, seq = store.entries(contract, entries), store.sequence()
     reviews = book.review_entries(_as_entries(counts, contract, "rows_failed"), at)
-    store.save_ledger(merge(state, reviews, list(book.ENTRY), "merge_insert"))
+    cleaned = book.advance_events(held, entries, "cleaned", at, seq)
+    store.record(cleaned.unionByName(book.entry_events(held, reviews, seq)))
 
     clean = marked.where(F.col(CLEAN)).drop(CLEAN, quality.FAILED)
     _load_table(store, contract, clean, run)
-    store.save_ledger(book.advance(store.ledger(), entries, ["inserted", "completed"], at))
+    held = store.entries(contract, entries)
+    store.record(book.advance_events(held, entries, ["inserted", "completed"], at, store.sequence()))
     # The copies go once the entries say so; a crash in between leaves them behind.
-    tables.remove_folder(spark, marked_at)
+    remove_folder(spark, marked_at)
+    remove_folder(spark, store.step("state", contract, run))
     return failures
 
 
@@ -278,6 +304,7 @@ def _staged_schema(contract: TableContract) -> T.StructType:
             *contract.schema.fields,
             T.StructField(FILE_NAME, T.StringType()),
             T.StructField(FILE_TIME, T.TimestampType()),
+            T.StructField(FOLDER, T.StringType()),
             T.StructField(PRESENT, T.ArrayType(T.StringType())),
             T.StructField(INCREMENT, T.IntegerType()),
             T.StructField(HASH, T.IntegerType()),
@@ -297,8 +324,10 @@ def _marked_schema(contract: TableContract) -> T.StructType:
 
 
 def _load_table(store: Store, contract: TableContract, clean: DataFrame, run: str) -> None:
+    """Bring the clean rows into the table; a repeat of the run leaves the same table."""
     spark, name = store.spark, store.table_name(contract)
     target = store.table(contract)
+    _finish_states(store, contract, run)
     if clean.isEmpty():
         return
     columns = [c for c in clean.columns if c in target.columns]
@@ -310,10 +339,8 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame, run: st
         if not clean.where(F.col(INCREMENT) > 0).isEmpty():  # corrected rows belong to the load they came with
             tables.append(spark, name, align(rows, target.schema), load=run)
             return
-        last = clean.agg(F.max(F.struct(FILE_TIME, FILE_NAME)).alias("f")).first().f
-        only = clean.where((F.col(FILE_TIME) == F.lit(last[FILE_TIME])) & (F.col(FILE_NAME) == F.lit(last[FILE_NAME])))
-        only = only.select(*[quoted(c) for c in columns])
-        tables.publish(spark, name, load(target, only, "replace"), store.table_root(contract))
+        only = _last_delivery(clean, contract).select(*[quoted(c) for c in columns])
+        tables.publish_complete(spark, name, align(only, target.schema), store.table_root(contract), load=run)
         return
 
     pick = "first" if contract.strategy == "merge_insert" else "latest"
@@ -328,12 +355,44 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame, run: st
     if contract.absent == "keep":
         options["present"] = PRESENT
 
-    if not contract.partition_by:
-        state = load(target, offered, contract.strategy, contract.keys, **options)
-        tables.publish(spark, name, state, store.table_root(contract))
+    if contract.strategy == "merge_insert":
+        held = tables.others(spark, name, run)
+        tables.append(spark, name, new_rows(held, offered, contract.keys, **options), load=run)
         return
-    state = load(_touched(target, offered, contract), offered, contract.strategy, contract.keys, **options)
-    tables.publish_partitions(spark, name, state, store.table_root(contract))
+    options["large"] = outgrows_broadcast(offered)
+    state_at = store.step("state", contract, run)
+    if not tables.is_complete(spark, state_at):
+        before = _touched(target, offered, contract) if contract.partition_by else target
+        state = load(before, offered, contract.strategy, contract.keys, **options)
+        state.write.mode("overwrite").parquet(state_at)
+    _apply_state(store, contract, state_at)
+
+
+def _last_delivery(clean: DataFrame, contract: TableContract) -> DataFrame:
+    """The rows of the file, or of all files of the folder, that came last."""
+    unit = FOLDER if contract.delivery == "folder" else FILE_NAME
+    last = clean.groupBy(unit).agg(F.max(FILE_TIME).alias("at")).agg(F.max(F.struct("at", unit)).alias("f")).first().f
+    return clean.where(F.col(unit) == F.lit(last[unit]))
+
+
+def _apply_state(store: Store, contract: TableContract, state_at: str) -> None:
+    """Overwrite the table, or the partitions that occur, by a state that is complete elsewhere."""
+    spark, name = store.spark, store.table_name(contract)
+    state = spark.read.schema(store.table(contract).schema).parquet(state_at)
+    if contract.partition_by:
+        tables.replace_partitions(spark, name, state)
+    else:
+        tables.publish_complete(spark, name, state, store.table_root(contract))
+
+
+def _finish_states(store: Store, contract: TableContract, run: str) -> None:
+    """Apply what an earlier run of the table may have left half applied, before anything reads the table."""
+    spark, root = store.spark, store.path("state", contract.source, contract.table)
+    for folder in tables.folders(spark, root):  # one at most, unless runs were cut off
+        left = f"{root}/{folder}"
+        if left != store.step("state", contract, run) and tables.is_complete(spark, left):
+            _apply_state(store, contract, left)
+            remove_folder(spark, left)
 
 
 def _touched(target: DataFrame, offered: DataFrame, contract: TableContract) -> DataFrame:
@@ -373,13 +432,15 @@ def abandon_files(store: Store, contract: TableContract, claims: DataFrame, batc
         if has_rows
         else spark.createDataFrame([], _staged_schema(contract))
     )
-    result = book.abandon(store.ledger(), staged, named, {"file_name": FILE_NAME, "increment": INCREMENT})
+    held = store.entries(contract, named)
+    result = book.abandon(held, staged, named, {"file_name": FILE_NAME, "increment": INCREMENT})
     refused = cut_lineage(result.refused)
     if has_rows:
         result.staged.write.mode("overwrite").parquet(left)
         spark.read.schema(_staged_schema(contract)).parquet(left).write.mode("overwrite").parquet(path)
-        tables.remove_folder(spark, left)
-    store.save_ledger(result.ledger)
+        remove_folder(spark, left)
+    ended = filter_join(book.lookup(held, named), refused, list(book.ENTRY), "left_anti").where("increment = 0")
+    store.record(book.drop_events(held, ended, F.current_timestamp(), store.sequence()))
     _unlist(store, contract, named, refused, batch_id)
     return refused
 
@@ -396,11 +457,11 @@ def _unlist(store: Store, contract: TableContract, named: DataFrame, refused: Da
     ).parquet(left)
     kept = spark.read.schema(LISTED).parquet(left)
     if kept.isEmpty():
-        tables.remove_folder(spark, store.step("staged", contract, batch_id))
-        tables.remove_folder(spark, listed_at)
+        remove_folder(spark, store.step("staged", contract, batch_id))
+        remove_folder(spark, listed_at)
     else:
         kept.write.mode("overwrite").parquet(listed_at)
-    tables.remove_folder(spark, left)
+    remove_folder(spark, left)
 
 
 def rename_table(store: Store, source: str, old: str, to: str) -> None:
@@ -409,10 +470,15 @@ def rename_table(store: Store, source: str, old: str, to: str) -> None:
     A repeat after a crash starts from the old table as long as the ledger has the old name.
     """
     spark = store.spark
-    renamed = book.rename_table(store.ledger(), source, old, to)
-    rows = book.rekey_rows(tables.read(spark, f"{source}.{old}"), renamed.mapping)
-    root = store.path("source", source, old)
-    held = tables.current(spark, root)
-    tables.publish(spark, f"{source}.{to}", rows, store.path("source", source, to), held["partition_by"])
-    store.save_ledger(renamed.ledger)
-    tables.drop(spark, f"{source}.{old}", root)
+    before = store.ledger().where((F.col("source") == source) & (F.col("table") == old))
+    renamed = book.rename_table(before, source, old, to)
+    name, root = f"{source}.{old}", store.path("source", source, old)
+    held = tables.has_data(spark, root)
+    if held:
+        rows = book.rekey_rows(tables.read(spark, name), renamed.mapping)
+        by = tables.partition_columns(spark, name)
+        tables.publish(spark, f"{source}.{to}", rows, store.path("source", source, to), by)
+    seq = store.sequence()
+    gone = book.drop_events(before, before, F.current_timestamp(), seq)
+    store.record(book.events_of(renamed.ledger, seq).unionByName(gone))
+    tables.drop(spark, name, root)

@@ -221,16 +221,16 @@ def replace_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, source = _fresh_store(spark, "replaced")
     folder = scratch_path(spark, "arrived")
     declared = contract(
-        source, keys=("o_orderpriority", "o_orderkey"), partition_by=("o_orderpriority",), rules=(), strategy="replace"
-    )
+        source, keys=("o_orderpriority", "o_orderkey"), partition_by=("o_orderpriority",), rules=(), strategy="replace",
+        delivery="folder",
+    )
     text = table(spark, sf_dir, "orders").select(
         *NAMES[:3], F.col("o_totalprice").cast("decimal(18,2)"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority",
     )
-    # A replace takes the last file of a batch whole, so each delivery is one file.
-    text.coalesce(1).write.option("header", True).csv(f"{folder}/1")
+    text.write.option("header", True).csv(f"{folder}/1")
     fewer = text.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
-    fewer.coalesce(1).write.option("header", True).csv(f"{folder}/2")
+    fewer.write.option("header", True).csv(f"{folder}/2")
     ingest_batch(store, declared, f"{folder}/1", "first", datetime(2024, 6, 1))
     ingest_batch(store, declared, f"{folder}/2", "second", datetime(2024, 6, 2))
     return _view(store.table(declared))
@@ -267,8 +267,8 @@ def _reviewed(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
     store, source = _fresh_store(spark, strategy)
     folder = scratch_path(spark, "arrived")
     orders = table(spark, sf_dir, "orders")
-    as_text(orders).coalesce(1).write.option("header", True).csv(folder)
-    declared = contract(source, strategy=strategy)
+    as_text(orders).write.option("header", True).csv(folder)
+    declared = contract(source, strategy=strategy, delivery="folder")
     ingest_batch(store, declared, folder, "first", datetime(2024, 6, 1))
     fixes = orders.select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
     ingest_review(store, declared, fixes, "o_orderkey", "first", datetime(2024, 6, 1))

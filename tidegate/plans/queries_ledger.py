@@ -225,7 +225,7 @@ def rows_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({LEDGER_SQL}) l LEFT JOIN ({_COUNTS_SQL}) x ON {_KEY_MATCH}""",
 )
 def ledger_rows_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(book.set_rows_read(order_ledger(spark, sf_dir), _line_counts(spark, sf_dir), _at()))
+    return _view(book.set_rows_read(order_ledger(spark, sf_dir), _line_counts(spark, sf_dir), _at(), unique=True))
 
 
 @registered(

@@ -17,7 +17,12 @@ from tidegate.session import cut_lineage
 from tidegate.sources.files import list_files, literal_path
 from tidegate.sources.headers import audit, violations
 
-FILE_NAME, FILE_TIME, INCREMENT, PRESENT, HASH = "_file_name", "_file_time", "_increment", "_present", "_hash"
+FILE_NAME, FILE_TIME, FOLDER, INCREMENT, PRESENT, HASH = "_file_name", "_file_time", "_folder", "_increment", "_present", "_hash"
+_ORIGIN = (
+    T.StructField(FILE_NAME, T.StringType()),
+    T.StructField(FILE_TIME, T.TimestampType()),
+    T.StructField(FOLDER, T.StringType()),
+)
 
 
 def _plain_file_name() -> Column:
@@ -31,10 +36,9 @@ def _finish(raw: DataFrame, contract: TableContract, names: Sequence[str]) -> Da
         *[quoted(n).alias(clean_label(n)) for n in names],
         _plain_file_name().alias(FILE_NAME),
         F.col("_metadata.file_modification_time").alias(FILE_TIME),
+        F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(FOLDER),
     )
-    origin = T.StructType(
-        [*contract.schema.fields, T.StructField(FILE_NAME, T.StringType()), T.StructField(FILE_TIME, T.TimestampType())]
-    )
+    origin = T.StructType([*contract.schema.fields, *_ORIGIN])
     present = F.array(*[F.lit(clean_label(n)) for n in names])
     return align(renamed, origin).withColumn(PRESENT, present)
 
@@ -70,8 +74,8 @@ def scan_audited(spark: SparkSession, audited: DataFrame, contract: TableContrac
     layouts: dict[tuple[str, ...], list[str]] = {}
     for row in audited.where(~F.col("refused")).select("path", "header").toLocalIterator():
         layouts.setdefault(tuple(row.header), []).append(literal_path(row.path))
-    result = align(spark.createDataFrame([], contract.schema), contract.schema).withColumns(
-        {FILE_NAME: F.lit(None).cast("string"), FILE_TIME: F.lit(None).cast("timestamp"), PRESENT: F.lit(None).cast("array<string>")}
+    result = spark.createDataFrame(
+        [], T.StructType([*contract.schema.fields, *_ORIGIN, T.StructField(PRESENT, T.ArrayType(T.StringType()))])
     )
     for i, (header, paths) in enumerate(layouts.items()):
         rows = scan(spark, paths, contract, header)

@@ -1,184 +1,96 @@
-"""Tables on plain parquet below a root folder, each state in folders of its own.
-
-A small file in the root, `_current.json`, names the present state: its schema and where
-its files are, for a partitioned table one folder per partition. It is replaced after the
-files of a new state are complete, so a reader sees the old state or the new one, and any
-session finds the table by its root. The session's catalog only mirrors that file: when
-several partitions change, readers of the catalog's table see them change together, as
-one statement adds them all; between it and the statement that drops the old ones, the
-touched partitions read as empty.
+"""Tables as external parquet tables of Spark's catalog, each at a fixed path.
+
+All reading and writing is Spark's: `insertInto`, with static overwrite for whole tables
+and dynamic partition overwrite for parts. A table that rows are added to has the name of
+the load as its last partition column, so a load repeated after a failure overwrites its
+own rows and no others. A session whose catalog does not know a table opens it by its path.
+
+Plain parquet has no transactions: while an overwrite runs, readers may see its partitions
+without rows. What is written in place of a table's rows is complete elsewhere before.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta, timezone
-from urllib.parse import unquote
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.compare import quoted
+from tidegate.session import remove_folder, step_copy
 
-_CURRENT = "_current.json"
-_STATE = "tidegate.state"
-# Folder value of a NULL partition value, a fixed name of Spark's file layout.
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-# Partitions named in one catalog statement.
-_AT_ONCE = 500
+# Partition column that names a row's load, in tables that rows are added to.
+LOAD = "_load"
+_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def read(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-
-
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _version(root: str) -> str:
-    return f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
-
-
-def current(spark: SparkSession, root: str) -> dict | None:
-    """What `_current.json` says: state, schema, partition_by, location, partitions."""
-    path, files = _folder(spark, f"{root.rstrip('/')}/{_CURRENT}")
-    if not files.exists(path):
-        return None
-    stream = files.open(path)
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
-    finally:
-        stream.close()
-
-
-def _note(spark: SparkSession, root: str, **changes) -> dict:
-    """Replace `_current.json`: written beside it first, then renamed over it."""
-    held = {"partition_by": [], "partitions": {}} | (current(spark, root) or {}) | changes | {"state": uuid.uuid4().hex}
-    root = root.rstrip("/")
-    fresh, files = _folder(spark, f"{root}/.{_CURRENT}-{held['state']}")
-    stream = files.create(fresh, True)
-    try:
-        stream.write(bytearray(json.dumps(held).encode("utf-8")))
-    finally:
-        stream.close()
-    place, _ = _folder(spark, f"{root}/{_CURRENT}")
-    if files.exists(place):
-        files.delete(place, False)
-    if not files.rename(fresh, place):
-        raise OSError(f"could not replace {root}/{_CURRENT}")
-    return held
-
-
-def _recovered(spark: SparkSession, root: str) -> dict | None:
-    """The present state, also if a crash came between deleting and renaming its file."""
-    held = current(spark, root)
-    if held is not None:
-        return held
-    base, files = _folder(spark, root.rstrip("/"))
-    if not files.exists(base):
-        return None
-    left = [str(s.getPath()) for s in files.listStatus(base) if s.getPath().getName().startswith(f".{_CURRENT}-")]
-    if not left:
-        return None
-    newest = max(left, key=lambda p: files.getFileStatus(_folder(spark, p)[0]).getModificationTime())
-    files.rename(_folder(spark, newest)[0], _folder(spark, f"{root.rstrip('/')}/{_CURRENT}")[0])
-    return current(spark, root)
-
-
 def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _specs(paths: Sequence[str]) -> dict[str, str]:
-    """Partition folders, as Spark's writer names them, to SQL partition specs."""
-
-    def spec(path: str) -> str:
-        parts = (part.split("=", 1) for part in path.split("/"))
-        return ", ".join(f"`{unquote(k)}` = {'NULL' if v == NULL_FOLDER else _literal(unquote(v))}" for k, v in parts)
+def _listing(fields: Sequence[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
-    return {path: spec(path) for path in paths}
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below this path, none if there is no such path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
 
-def _add_partitions(spark: SparkSession, name: str, partitions: Mapping[str, str], instead: bool = False) -> None:
-    specs = _specs(list(partitions))
-    for at in range(0, len(specs), _AT_ONCE):
-        some = list(specs)[at : at + _AT_ONCE]
-        if instead:
-            spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS " + ", ".join(f"PARTITION ({specs[p]})" for p in some))
-        spark.sql(
-            f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS "
-            + " ".join(f"PARTITION ({specs[p]}) LOCATION {_literal(partitions[p])}" for p in some)
-        )
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Are there data files or partition folders below this path?"""
+    return any("=" in n or not n.startswith(("_", ".")) for n in folders(spark, path))
 
-def _mirror(spark: SparkSession, name: str, held: dict) -> None:
-    """Make the session's catalog say what `_current.json` says."""
-    if "." in name:
-        create_database(spark, name.split(".")[0])
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
-    schema = T.StructType.fromJson(held["schema"])
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    by = held["partition_by"]
-    parts = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in by)})" if by else ""
-    spark.sql(
-        f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {parts} LOCATION {_literal(held['location'])} "
-        f"TBLPROPERTIES ('{_STATE}' = '{held['state']}')"
-    )
-    if held["partitions"]:
-        _add_partitions(spark, name, held["partitions"])
-    spark.catalog.refreshTable(name)
-
-
-def _mirrored(spark: SparkSession, name: str, state: str) -> bool:
-    if not exists(spark, name):
-        return False
-    held = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").collect()}
-    return held.get(_STATE) == state
 
+def create(spark: SparkSession, name: str, schema: T.StructType, root: str, partition_by: Sequence[str] = ()) -> None:
+    """Open the table at this path, with all columns its files have, or create it there, empty.
 
-def _marked(spark: SparkSession, name: str, held: dict) -> None:
-    spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('{_STATE}' = '{held['state']}')")
-    spark.catalog.refreshTable(name)
+    Of a table that the catalog has already, the columns it lacks are added.
+    """
+    if exists(spark, name):
+        held = {c.name.lower() for c in spark.catalog.listColumns(name)}
+        lacking = [f for f in schema.fields if f.name.lower() not in held]
+        if lacking:
+            evolve(spark, name, lacking)
+        return
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.split('.')[0]}`")
+    known = {f.name.lower() for f in schema.fields}
+    held, found = has_data(spark, root), []
+    if held:
+        files = spark.read.option("mergeSchema", "true").parquet(root)
+        found = [f for f in files.schema.fields if f.name.lower() not in known and f.name not in partition_by]
+    columns = [*schema.fields, *found, *([T.StructField(LOAD, T.StringType())] if LOAD in partition_by else [])]
+    parts = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {_quoted(name)} ({_listing(columns)}) USING parquet {parts} LOCATION {_literal(root)}")
+    if partition_by and held:
+        spark.catalog.recoverPartitions(name)
 
 
-def create(spark: SparkSession, name: str, schema: T.StructType, root: str, partition_by: Sequence[str] = ()) -> None:
-    """Open the table that lives below `root`, or create it there, empty."""
-    held = _recovered(spark, root)
-    if held is None:
-        target = _version(root)
-        folder, files = _folder(spark, target)
-        files.mkdirs(folder)
-        held = _note(spark, root, schema=schema.jsonValue(), partition_by=list(partition_by), location=target, partitions={})
-    if not _mirrored(spark, name, held["state"]):
-        _mirror(spark, name, held)
+def read(spark: SparkSession, name: str) -> DataFrame:
+    """The table's rows, without the name of their load."""
+    return spark.table(name).drop(LOAD)
 
 
-def location(spark: SparkSession, name: str) -> str:
-    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").toLocalIterator():
-        if row.col_name == "Location":
-            return row.data_type
-    raise ValueError(f"table {name} has no location")
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _root(spark: SparkSession, name: str) -> str:
-    return location(spark, name).rpartition("/")[0]
+def evolve(spark: SparkSession, name: str, added: Sequence[T.StructField]) -> None:
+    """Add nullable columns; rows already there read NULL."""
+    spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({_listing(added)})")
 
 
 def _refuse_empty(state: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -190,121 +102,81 @@ def _refuse_empty(state: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return state
 
 
-def _written_partitions(spark: SparkSession, target: str, depth: int) -> dict[str, str]:
-    """Partition folders below a finished write, as the writer has named them."""
-    found, level = {}, [(target, "")]
-    for _ in range(depth):
-        deeper = []
-        for path, relative in level:
-            folder, files = _folder(spark, path)
-            for status in files.listStatus(folder):
-                part = status.getPath().getName()
-                if status.isDirectory() and "=" in part:
-                    deeper.append((f"{path}/{part}", f"{relative}/{part}".lstrip("/")))
-        level = deeper
-    found.update({relative: path for path, relative in level})
-    return found
-
-
-def _write(state: DataFrame, partition_by: Sequence[str], target: str) -> None:
-    if partition_by:
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """The session's overwrite mode while one statement runs; insertInto knows no option for it."""
+    before = spark.conf.get(_MODE)
+    spark.conf.set(_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(_MODE, before)
+
+
+def _insert(spark: SparkSession, name: str, rows: DataFrame, load: str | None, mode: str | None) -> None:
+    by = partition_columns(spark, name)
+    if LOAD in by:
+        rows = rows.withColumn(LOAD, F.lit(load or "all"))
+    rows = rows.select(*[quoted(c.name) for c in spark.catalog.listColumns(name)])
+    values = [p for p in by if p != LOAD]
+    if values:
         # A rebalance, not a repartition: AQE splits a partition value that holds many rows.
-        state = _refuse_empty(state, partition_by).hint("rebalance", *partition_by)
-        state.write.partitionBy(*partition_by).parquet(target)
-    else:
-        state.write.parquet(target)
+        rows = _refuse_empty(rows, values).hint("rebalance", *values)
+    with _overwriting(spark, mode or "static"):
+        rows.write.insertInto(name, overwrite=mode is not None)
+    spark.catalog.refreshTable(name)
 
 
 def publish(
-    spark: SparkSession, name: str, state: DataFrame, root: str, partition_by: Sequence[str] | None = None
-) -> str:
-    """Make `state` the table's whole content; the state may be computed from the table.
+    spark: SparkSession, name: str, state: DataFrame, root: str, partition_by: Sequence[str] = (), load: str | None = None
+) -> None:
+    """Make `state` the table's whole content; it may be computed from the table.
 
-    A table that exists keeps its partitioning; partitions without rows in `state` go.
+    A table that exists keeps its partitioning; columns it lacks are added, partitions without rows in
+    `state` go.
     """
-    held = _recovered(spark, root)
-    by = list(partition_by or []) if held is None else held["partition_by"]
-    target = _version(root)
-    _write(state, by, target)
-    before = T.StructType.fromJson(held["schema"]).fields if held else []
-    known = {f.name.lower() for f in before}
-    schema = T.StructType([*before, *[f for f in state.schema.fields if f.name.lower() not in known]])
-    partitions = _written_partitions(spark, target, len(by)) if by else {}
-    held = _note(spark, root, schema=schema.jsonValue(), partition_by=by, location=target, partitions=partitions)
-    _mirror(spark, name, held)
-    return target
-
-
-def publish_partitions(spark: SparkSession, name: str, state: DataFrame, root: str) -> str:
-    """Replace the partitions that occur in `state` by it; all others stay where they are."""
-    held = _recovered(spark, root)
-    target = _version(root)
-    _write(state, held["partition_by"], target)
-    changed = _written_partitions(spark, target, len(held["partition_by"]))
-    held = _note(spark, root, partitions=held["partitions"] | changed)
-    _add_partitions(spark, name, changed, instead=True)
-    _marked(spark, name, held)
-    return target
+    with step_copy(state) as complete:
+        publish_complete(spark, name, complete, root, partition_by, load)
 
 
-def evolve(spark: SparkSession, name: str, added: Sequence[T.StructField]) -> None:
-    """Add nullable columns; rows already there read NULL."""
-    root = _root(spark, name)
-    held = current(spark, root)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-    spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({columns})")
-    if held is not None:
-        fields = [*T.StructType.fromJson(held["schema"]).fields, *[T.StructField(f.name, f.dataType, True) for f in added]]
-        _marked(spark, name, _note(spark, root, schema=T.StructType(fields).jsonValue()))
+def publish_complete(
+    spark: SparkSession, name: str, state: DataFrame, root: str, partition_by: Sequence[str] = (), load: str | None = None
+) -> None:
+    """`publish` for a state that has been written elsewhere already, and can be so again."""
+    create(spark, name, state.schema, root, partition_by)
+    held = {f.name for f in state.schema.fields}
+    missing = [f for f in spark.table(name).schema.fields if f.name not in held and f.name != LOAD]
+    state = state.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    _insert(spark, name, state, load, "static")
+
+
+def replace_partitions(spark: SparkSession, name: str, complete: DataFrame) -> None:
+    """Replace the partitions that occur in these rows, which have been written elsewhere; others stay untouched."""
+    _insert(spark, name, complete, None, "dynamic")
 
 
 def append(spark: SparkSession, name: str, rows: DataFrame, load: str | None = None) -> None:
-    """Append rows, columns by name; nothing already there is read or rewritten.
+    """Add rows, columns by name; nothing already there is read or rewritten.
 
-    With `load`, the name of this load, a repeat of it adds nothing: the rows are written
-    to a folder of that name, their files are moved into the table one by one, and a mark
-    remembers that all are there. A repeat goes on where the first try has stopped.
+    In a table partitioned by load, a repeat of a load overwrites what its first try has
+    written. The rows must not depend on that: see `others`.
     """
-    held = [c.name for c in spark.catalog.listColumns(name)]
-    rows = rows.select(*[quoted(c) for c in held])
-    root = _root(spark, name)
-    state = current(spark, root)
-    by = state["partition_by"] if state else []
-    if load is None and not by:
-        rows.write.insertInto(name)
-        spark.catalog.refreshTable(name)
-        return
-    load = load or uuid.uuid4().hex
-    done, files = _folder(spark, f"{root}/_loads/{load}")
-    if files.exists(done):
-        return
-    waiting = f"{root}/_loading-{load}"
-    if not is_complete(spark, waiting):
-        fresh = _refuse_empty(rows, by)
-        (fresh.write.mode("overwrite").partitionBy(*by) if by else fresh.write.mode("overwrite")).parquet(waiting)
-    places = _written_partitions(spark, waiting, len(by)) if by else {"": waiting}
-    added = {}
-    for relative, path in places.items():
-        into = state["partitions"].get(relative) if by else location(spark, name)
-        if into is None:
-            into = added[relative] = f"{root}/l-{load}/{relative}"
-        target, _ = _folder(spark, into)
-        files.mkdirs(target)
-        for status in files.listStatus(_folder(spark, path)[0]):
-            part = status.getPath().getName()
-            if part.startswith("part-") and not files.rename(status.getPath(), _folder(spark, f"{into}/{part}")[0]):
-                raise OSError(f"could not move {part} to {into}")
-    if added:
-        _add_partitions(spark, name, added)
-        _marked(spark, name, _note(spark, root, partitions=current(spark, root)["partitions"] | added))
-    files.create(done, True).close()
-    remove_folder(spark, waiting)
-    spark.catalog.refreshTable(name)
+    loads = LOAD in partition_columns(spark, name)
+    if load is None or not loads:
+        _insert(spark, name, rows, load, None)
+    else:
+        _insert(spark, name, rows, load, "dynamic")
+
 
+def others(spark: SparkSession, name: str, load: str) -> DataFrame:
+    """The table's rows but those that an earlier try of this load has left."""
+    table = spark.table(name)
+    return table.where(F.col(LOAD) != load).drop(LOAD) if LOAD in table.columns else table
 
-def clear(spark: SparkSession, name: str, root: str) -> None:
+
+def clear(spark: SparkSession, name: str) -> None:
     """Empty the table; its columns and its partitioning stay."""
-    publish(spark, name, read(spark, name).limit(0), root)
+    _insert(spark, name, spark.createDataFrame([], read(spark, name).schema), None, "static")
 
 
 def drop(spark: SparkSession, name: str, root: str | None = None) -> None:
@@ -314,31 +186,7 @@ def drop(spark: SparkSession, name: str, root: str | None = None) -> None:
         remove_folder(spark, root)
 
 
-def expire(spark: SparkSession, root: str, older_than: timedelta) -> int:
-    """Remove folders of states that no longer count and are older than that; returns how many."""
-    held = current(spark, root)
-    base, files = _folder(spark, root)
-    if held is None:
-        return 0
-    live = {p.rstrip("/") for p in [held["location"], *held["partitions"].values()]}
-    limit = (datetime.now(timezone.utc) - older_than).timestamp() * 1000
-    gone = 0
-    for status in files.listStatus(base):
-        name, path = status.getPath().getName(), f"{root.rstrip('/')}/{status.getPath().getName()}"
-        used = any(p == path or p.startswith(path + "/") for p in live)
-        if name.startswith(("v-", "l-", "_loading-")) and not used and status.getModificationTime() < limit:
-            files.delete(status.getPath(), True)
-            gone += 1
-    return gone
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of staged data, wherever the cluster keeps it."""
-    folder, files = _folder(spark, path)
-    files.delete(folder, True)
-
-
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Did a write to this folder finish?"""
-    marker, files = _folder(spark, f"{path}/_SUCCESS")
-    return files.exists(marker)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
