@@ -86,3 +86,22 @@ def test_refresh_contains_failures(spark, nodes):
         "source.p.s.n1": "done", "model.p.n3": "failed", "snapshot.p.n2": "blocked", "model.p.n6": "done",
     }
     assert ran == ["n6"]
+
+
+def test_levels_of_a_random_graph(spark):
+    """Longest paths, with repeated edges, diamonds, a cycle and nodes behind it."""
+    import random
+
+    chance = random.Random(3)
+    pairs = [(f"n{chance.randrange(i):03d}", f"n{i:03d}") for i in range(1, 120) for _ in range(chance.randint(1, 4))]
+    pairs += [("n050", "c1"), ("c1", "c2"), ("c2", "c1"), ("c2", "d1"), ("n010", "d1"), ("d1", "d2"), ("x", "y")]
+    links = spark.createDataFrame(pairs + pairs[:30], "parent string, child string")
+    parents = {}
+    for a, b in pairs:
+        parents.setdefault(b, set()).add(a)
+    want = {"n000": 0}
+    for i in range(1, 120):
+        want[f"n{i:03d}"] = 1 + max(want[p] for p in parents[f"n{i:03d}"])
+    want |= dict.fromkeys(["c1", "c2", "d1", "d2"])
+    got = lineage.levels(links, starts(spark, "n000", "n000")).collect()
+    assert {r.node: r.level for r in got} == want and len(got) == len(want)

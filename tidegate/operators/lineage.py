@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.operators.sizing import settle
+from tidegate.operators.sizing import measured, settle
 from tidegate.session import cut_lineage
 
 NODE_KINDS = ("model", "snapshot", "source")
@@ -73,24 +73,32 @@ def levels(edge_table: DataFrame, starts: DataFrame) -> DataFrame:
     A node comes after all its parents that lie in the closure, and nodes of one
     level do not depend on each other. Nodes on a cycle, or behind one, have no
     order: their level is NULL.
+
+    Every node's parents are counted once. A round tells the frontier's children how many
+    parents have got a level; those that have all are the next frontier. Only edges that
+    leave the frontier, and nodes some of whose parents are done, are looked at.
     """
-    waiting = closure(edge_table, starts)
-    links = cut_lineage(edge_table.join(waiting.withColumnRenamed("node", "parent"), "parent", "left_semi"))
-    done, level = [], 0
-    while True:
-        blocked = _children(links, waiting).withColumn("blocked", F.lit(True))
-        judged = cut_lineage(waiting.join(blocked, "node", "left"))
-        ready = judged.where(F.col("blocked").isNull()).select("node")
-        if ready.isEmpty():
-            break
-        done.append(ready.withColumn("level", F.lit(level)))
-        waiting = judged.where(F.col("blocked").isNotNull()).select("node")
-        if level % 8 == 7:
-            links = cut_lineage(links.join(waiting.withColumnRenamed("node", "parent"), "parent", "left_semi"))
-            done = [cut_lineage(_together(done))]
+    inside = cut_lineage(closure(edge_table, starts))
+    links = edge_table.join(inside.withColumnRenamed("node", "parent"), "parent", "left_semi")
+    links = cut_lineage(links.select("parent", "child").distinct())
+    open_parents = cut_lineage(links.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("parents")))
+    frontier = settle(inside.join(open_parents, "node", "left_anti"))
+    done, level, partly = [], 0, None
+    while frontier.rows:
+        done.append(frontier.frame.withColumn("level", F.lit(level)))
+        leaving = links.join(frontier.frame.withColumnRenamed("node", "parent"), "parent", "left_semi")
+        told = leaving.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+        if partly is not None:
+            told = partly.unionByName(told).groupBy("node").agg(F.sum("n").alias("n"))
+        judged = cut_lineage(told.join(open_parents, "node"))
+        frontier = measured(judged.where("n = parents").select("node"))
+        partly = judged.where("n < parents").select("node", "n")
         level += 1
-    cyclic = waiting.select("node", F.lit(None).cast("int").alias("level"))
-    return _together([*done, cyclic])
+        if level % 16 == 0:
+            done = [cut_lineage(_together(done))]
+    placed = _together(done) if done else inside.select("node", F.lit(0).alias("level")).limit(0)
+    behind = open_parents.select("node").join(placed, "node", "left_anti")
+    return placed.union(behind.select("node", F.lit(None).cast("int").alias("level")))
 
 
 def impact(edge_table: DataFrame, starts: DataFrame, failed: DataFrame) -> DataFrame:

@@ -29,7 +29,12 @@ def settle(df: DataFrame, bound: int = BROADCAST_BYTES) -> Settled:
     The frame carries a broadcast hint only if its measured size is within the bound;
     beyond it, joins with it shuffle. One job computes, a second one measures the copy.
     """
-    kept = cut_lineage(df)
+    return measured(cut_lineage(df), bound)
+
+
+def measured(kept: DataFrame, bound: int = BROADCAST_BYTES) -> Settled:
+    """`settle` for a frame read from a written table."""
+    df = kept
     texts = [quoted(f.name) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     width = F.lit(16 * len(df.columns))
     for text in texts:
