@@ -134,3 +134,25 @@ def test_audit_and_missing_files(spark, tmp_path):
 
 def test_rule_on_cleaned_name(spark, tmp_path):
     assert "`is_Good` boolean NOT NULL" in contract(rules=(NotNull("is_Good"),)).ddl
+
+
+def test_headers_as_written(spark, tmp_path):
+    """Marks, comments, blank lines, quotes, empty names, odd file names; no Python worker reads them."""
+    from tidegate.sources.headers import fields, headers
+
+    write(tmp_path, "a +x%.csv", '﻿a,"b,c","d""e",\r\n1,2,3,4\r\n')
+    write(tmp_path, "b[1].csv", "# note\n\n ,x,,y \n1,2\n")
+    write(tmp_path, "c é.csv", "a\n")
+    write(tmp_path, "d.csv", "\n\n")
+    write(tmp_path, "e.csv", ",a\n")
+    noted = contract(options={**OPTIONS, "comment": "#"})
+    frame = headers(list_files(spark, str(tmp_path)), noted)
+    got = {r.path.rsplit("/", 1)[-1]: r.header for r in frame.collect()}
+    assert got == {
+        "a +x%.csv": ["a", "b,c", 'd"e', ""], "b[1].csv": ["", "x", "", "y"], "c é.csv": ["a"], "d.csv": [], "e.csv": ["", "a"],
+    }
+    assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
+    lines = spark.createDataFrame([("a|'b|c'|d''",)], "l string")
+    assert lines.select(fields(F.col("l"), "|", "'")).first()[0] == ["a", "b|c", "d''"]
+    double = spark.createDataFrame([("a||b|c||d",)], "l string")
+    assert double.select(fields(F.col("l"), "||", "'")).first()[0] == ["a", "b|c", "d"]

@@ -106,21 +106,29 @@ def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "header_audit",
-    """SELECT DISTINCT o_orderstatus AS layout,
-              CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'o_orderpriority' END AS extra,
-              'O_Clerk' AS absent, o_orderstatus <> 'P' AS refused
+    """SELECT DISTINCT CASE o_orderpriority WHEN '5-LOW' THEN 'twice' ELSE o_orderstatus END AS layout,
+              CASE WHEN o_orderpriority = '5-LOW' THEN 'O_CustKey' WHEN o_orderstatus = 'P' THEN '' ELSE 'o_orderpriority' END AS extra,
+              CASE WHEN o_orderpriority = '5-LOW' THEN 'o_orderkey,o_orderstatus,o_totalprice,o_orderdate,O_Clerk, the' ELSE 'O_Clerk, the' END AS absent,
+              CASE WHEN o_orderpriority = '5-LOW' THEN 'o_orderkey' ELSE '' END AS absent_keys,
+              CASE WHEN o_orderpriority = '5-LOW' THEN 'o_custkey' ELSE '' END AS repeated,
+              o_orderpriority = '5-LOW' OR o_orderstatus <> 'P' AS refused
        FROM orders""",
 )
 def header_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every file's header against a contract that lacks one column and has another."""
+    """Every file's header against a contract that lacks one column and has another.
+
+    Four layouts; the last lacks the key and has a name twice but for its case.
+    """
     folder = _three_layouts(spark, sf_dir, "audit")
-    narrower = T.StructType([*COLUMNS.fields[:-1], T.StructField("O_Clerk", T.StringType())])
-    files = list_files(spark, [f"{folder}/{s}" for s in "FOP"])
+    orders = as_text(table(spark, sf_dir, "orders")).where("o_orderpriority = '5-LOW'")
+    twice = orders.select(F.concat_ws(",", "o_custkey", "o_custkey").alias("o_custkey,O_CustKey"))
+    twice.write.option("header", True).option("sep", "|").option("quote", "").csv(f"{folder}/twice")
+    narrower = T.StructType([*COLUMNS.fields[:-1], T.StructField("O_Clerk, the", T.StringType())])
+    files = list_files(spark, [f"{folder}/{s}" for s in ("F", "O", "P", "twice")])
     judged = audit(files, contract(columns=narrower))
     return judged.select(
         F.element_at(F.split("path", "/"), -2).alias("layout"),
-        F.array_join("extra", ",").alias("extra"),
-        F.array_join("absent", ",").alias("absent"),
+        *[F.array_join(c, ",").alias(c) for c in ("extra", "absent", "absent_keys", "repeated")],
         "refused",
     ).distinct()
 

@@ -1,56 +1,83 @@
 """Header audit: the first line of every file against the contract.
 
-Only the start of each file is read, by one small task-side helper; comparing headers
-with the contract is done on arrays in the JVM.
+Spark's own reader gives the lines; only a file's first split is looked at, and of that
+one line per file is kept before anything is shuffled. Taking the line apart and comparing
+it with the contract are expressions in the JVM.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.contract import TableContract
+from tidegate.sources.files import literal_path
+
+# Stands for the separator while lines are read whole; no text file has it.
+_NO_SEPARATOR = "\u0001"
+_LINE = T.StructType([T.StructField("line", T.StringType())])
+
+
+def _literal(text: str) -> str:
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
 
+def fields(line: Column, separator: str, quote: str) -> Column:
+    """The line's fields: quoted ones may hold the separator, and a doubled quote for one."""
+    line = F.regexp_replace(line, r"^[\s\uFEFF]+|\s+$", "")
+    if not quote or len(separator) > 1:
+        return F.split(line, _literal(separator))
+    q, s = _literal(quote), _literal(separator)
+    # With the separator before every field, no field is matched as empty text between two others.
+    pattern = f"{s}({q}(?:(?!{q}).|{q}{q})*{q}|(?:(?!{s}).)*)"
+    found = F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(pattern), F.lit(1))
 
-def _first_record(path: str, separator: str, quote: str, encoding: str, comment: str | None) -> list[str]:
-    from pyarrow import fs
+    def plain(field: Column) -> Column:
+        quoted = (F.length(field) > 1) & field.startswith(quote) & field.endswith(quote)
+        inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit(quote * 2), F.lit(quote))
+        return F.when(quoted, inner).otherwise(field)
 
-    if path.startswith("file:/"):
-        system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    else:
-        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    with system.open_input_stream(inner) as raw:
-        text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-        lines = (line for line in text if line.strip() and not (comment and line.startswith(comment)))
-        if len(separator) > 1:
-            return next(lines, "").lstrip("\ufeff").strip().split(separator)
-        quoting = {"quotechar": quote} if quote else {"quoting": csv.QUOTE_NONE}
-        trimmed = (line.lstrip("\ufeff") for line in lines)
-        record = next(csv.reader(trimmed, delimiter=separator, **quoting), [])
-        if record:
-            record[0], record[-1] = record[0].lstrip(), record[-1].rstrip()
-        return record
+    return F.transform(found, plain)
 
 
 def headers(files: DataFrame, contract: TableContract) -> DataFrame:
-    """(path, header) for each listed file; quoted separators belong to the name."""
+    """(path, header) for each listed file; a file without any line has an empty header.
+
+    The header is the first line that is neither blank nor a comment. The names of the files
+    come to the driver, where Spark's file index holds them in any case.
+    """
+    spark = files.sparkSession
+    paths = [literal_path(r.path) for r in files.select("path").toLocalIterator()]
+    nothing = F.array().cast("array<string>").alias("header")
+    if not paths:
+        return files.select("path", nothing)
     options = contract.reader_options
-    separator = contract.separator
-    quote = str(options.get("quote", '"'))
-    encoding = str(options.get("encoding", options.get("charset", "utf-8")))
-    comment = options.get("comment")
+    kept = {k: v for k, v in options.items() if k.lower() in ("encoding", "charset", "comment", "linesep")}
+    reader = spark.read.schema(_LINE).options(**kept, header="false", sep=_NO_SEPARATOR, quote="", maxCharsPerColumn="-1")
+    lines = reader.csv(paths).select(
+        F.col("_metadata.file_path").alias("at"), F.col("_metadata.file_block_start").alias("start"), "line",
+        F.monotonically_increasing_id().alias("no"),
+    )
+    first = (
+        lines.where(F.col("start") == 0)
+        .where(F.trim(F.col("line")) != "")
+        .groupBy("at")
+        .agg(F.min_by("line", "no").alias("line"))
+    )
+    found = fields(F.col("line"), contract.separator, str(options.get("quote", '"'))).alias("header")
+    # The reader names files percent-encoded, the listing as they are.
+    plain = F.url_decode(F.replace(F.col("at"), F.lit("+"), F.lit("%2B")))
+    return (
+        files.select("path")
+        .join(first.select(plain.alias("at"), found), _place(F.col("path")) == _place(F.col("at")), "left")
+        .select("path", F.coalesce("header", F.array().cast("array<string>")).alias("header"))
+    )
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [_first_record(p, separator, quote, encoding, comment) for p in batch["path"]]
-            yield pd.DataFrame({"path": batch["path"], "header": found})
 
-    return files.select("path").mapInPandas(read, "path string, header array<string>")
+def _place(path: Column) -> Column:
+    """A path without the slashes that one of Spark's two ways of writing it adds after the scheme."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
 
 
 def judge(with_header: DataFrame, contract: TableContract) -> DataFrame:
