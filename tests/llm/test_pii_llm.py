@@ -96,3 +96,22 @@ def test_labelling_learns_reliability():
     learnt = Labelling([(0, v, n) for v, n in sorted(counts.items())])
     assert abs(learnt.prior[0] - 0.3) < 0.05
     assert learnt.given[0, 0, 1, 1] > 0.9 and abs(learnt.given[0, 1, 1, 1] - 0.5) < 0.1
+
+
+def test_a_text_full_of_matches_takes_its_length(spark):
+    """Two hundred thousand numbers in one text; quadratic work would take hours."""
+    import time
+
+    text = " ".join(f"{i:07d}" for i in range(200_000))
+    mails = " ".join(f"a{i}@b.com" for i in range(50_000))
+    docs = spark.createDataFrame([(1, text), (2, mails), (3, "x 1.2.3.4 y")], "doc_id long, text string")
+    begun = time.time()
+    got = {r.doc_id: r for r in personal_data(docs).collect()}
+    assert time.time() - begun < 120
+    assert got[2].n_email == 50_000 and got[3].n_ip == 1
+    spans, at = [], 0
+    for i in range(50_000):
+        mail = f"a{i}@b.com"
+        spans.append(f"email:{at}:{at + len(mail)}")
+        at += len(mail) + 1
+    assert got[2].base_sha256 == sha(",".join(spans))

@@ -58,11 +58,22 @@ ACCEPT = 0.5
 _SPAN = "array<struct<start:bigint,end:bigint,match:string,before:string>>"
 
 
+def _bound(value: Column, body) -> Column:
+    """The body over a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _found(text: Column, pattern: str) -> Column:
-    """The matches in order, with code point positions (end exclusive) and the text before each."""
+    """The matches in order, with code point positions (end exclusive) and the text before each.
+
+    Positions are running sums of the lengths of matches and of the gaps between them. They
+    grow in pieces of about the square root of the number of matches, each counted from 0, and
+    are then moved by the length of all pieces before: one growing array would be copied for
+    every match.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
+    zero, none = F.lit(0).cast("long"), F.array().cast(_SPAN)
 
     def add(done: Column, each: Column) -> Column:
         start = done["at"] + F.length(each["gap"])
@@ -73,10 +84,38 @@ def _found(text: Column, pattern: str) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
 
+    def moved(piece: Column, by: Column) -> Column:
+        return F.transform(
+            piece["out"],
+            lambda s: F.struct(
+                (s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["match"].alias("match"), s["before"].alias("before")
+            ),
+        )
+
+    def joined(pieces: Column) -> Column:
+        nothing = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        offsets = F.aggregate(
+            pieces,
+            nothing,
+            lambda done, p: F.struct(
+                (done["at"] + p["at"]).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out")
+            ),
+            lambda done: done["out"],
+        )
+        return F.flatten(F.zip_with(pieces, offsets, moved))
+
+    def spans(pairs: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(pairs))).cast("int")
+        empty = F.struct(zero.alias("at"), none.alias("out"))
+        pieces = F.transform(
+            F.sequence(F.lit(1), F.size(pairs), step), lambda i: F.aggregate(F.slice(pairs, i, step), empty, add)
+        )
+        return F.when(F.size(pairs) > 0, _bound(pieces, joined)).otherwise(none)
+
     pairs = F.zip_with(
         matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda m, g: F.struct(m.alias("match"), g.alias("gap"))
     )
-    return F.aggregate(pairs, empty, add, lambda done: done["out"])
+    return _bound(pairs, spans)
 
 
 def _sought(text: Column, kind: str, pattern: str) -> Column:
