@@ -5,6 +5,7 @@ import numpy as np
 from odd_rows import ODD_ROWS, clashing
 from pyspark.sql import functions as F
 
+from tidegate.llm import toxicity
 from tidegate.llm.toxicity import THRESHOLD, Lasso, drop_toxic, fit_chain, junk_and_toxic, minimised, scored
 
 
@@ -66,17 +67,21 @@ def test_own_columns_stay(spark):
     assert {r.doc_id for r in got} == want and all(tuple(r)[2:] == tuple(range(len(names))) for r in got)
 
 
-def test_fit_is_the_lasso_minimum():
+def test_fit_is_the_lasso_minimum(monkeypatch):
     """No step along any weight lowers the penalised loss: the conditions of the minimum hold."""
     state = np.random.default_rng(3)
     n, width, penalty = 400, 30, 0.01
     x = state.random((n, width)) < 0.3
     y = (state.random(n) < 1 / (1 + np.exp(-(2.0 * x[:, 0] - 1.5 * x[:, 1])))).astype(float)
     dense = state.random((n, 1))
-    model = Lasso(penalty, 1e-9).fit([np.flatnonzero(r) for r in x], dense, y)
+    places, starts = np.nonzero(x)[1].astype(np.int32), np.concatenate(([0], np.cumsum(x.sum(axis=1))))
+    monkeypatch.setattr(toxicity, "_BLOCK", 500)
+    monkeypatch.setattr(toxicity, "_STEPS", 300)
+    model = Lasso(penalty, 1e-9).fit(places, starts, dense, y)
     table = np.zeros(width)
     table[model.held] = model.weights
     p = 1 / (1 + np.exp(-(x @ table + dense @ model.dense + model.constant)))
+    assert np.allclose(p, model.probability(places, starts, dense))
     slope = x.T @ (p - y) / n
     assert np.all(np.abs(slope[table == 0]) <= penalty + 2e-4)
     assert np.allclose(slope[table != 0], -penalty * np.sign(table[table != 0]), atol=2e-4)

@@ -14,11 +14,13 @@ Scoring reads each text once, without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,8 @@ THRESHOLD = 0.2
 _SCALE = 1_000_000
 # Quasi-Newton steps at most, and the gain by which a fit has to go on improving: fits end
 # early, which on held-out labels is a little better than the exact minimum.
-_STEPS, GAIN, _MEMORY = 60, 1e-4, 8
+_STEPS, GAIN, _MEMORY = 30, 1e-4, 8
+_BLOCK = 1 << 20
 
 
 def beginnings(text: Column) -> Column:
@@ -97,31 +100,50 @@ def minimised(smooth: Callable, start: np.ndarray, penalty: np.ndarray, least: f
     return x
 
 
+def _slices(starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about a million places each, or are one long row."""
+    at = 0
+    while at + 1 < len(starts):
+        end = max(at + 1, int(np.searchsorted(starts, starts[at] + _BLOCK, side="right")) - 1)
+        yield at, end
+        at = end
+
+
 class Lasso:
-    """Logistic regression with a lasso penalty on binary features and some dense columns."""
+    """Logistic regression with a lasso penalty on binary features and some dense columns.
+
+    Row i's features are places[starts[i]:starts[i + 1]]. Work goes block by block, so that
+    little is held besides the places themselves.
+    """
 
     def __init__(self, penalty: float = PENALTY, gain: float = GAIN):
         self.penalty, self.gain = penalty, gain
 
-    def fit(self, places: Sequence[np.ndarray], dense: np.ndarray, y: np.ndarray) -> Lasso:
+    def fit(self, places: np.ndarray, starts: np.ndarray, dense: np.ndarray, y: np.ndarray) -> Lasso:
         n, extra = len(y), dense.shape[1]
-        sizes = np.fromiter(map(len, places), np.int64, n)
-        flat = np.concatenate(places) if sizes.sum() else np.empty(0, dtype=np.int64)
-        counts = np.bincount(flat, minlength=1)
+        counts = np.zeros(FEATURES, dtype=np.int64)
+        for a, b in _slices(starts):
+            counts += np.bincount(places[starts[a] : starts[b]], minlength=FEATURES)
         # A feature of fewer rows than this cannot outweigh the penalty.
         self.held = np.flatnonzero(counts >= max(1.0, self.penalty * n))
-        column = np.full(len(counts), -1)
-        column[self.held] = np.arange(len(self.held))
-        row, place = np.repeat(np.arange(n), sizes), column[flat]
-        row, place = row[place >= 0], place[place >= 0]
         width = len(self.held)
+        column = np.full(FEATURES, -1, dtype=np.int32)
+        column[self.held] = np.arange(width)
+        blocks = []
+        for a, b in _slices(starts):
+            own = column[places[starts[a] : starts[b]]]
+            row = np.repeat(np.arange(b - a, dtype=np.int32), np.diff(starts[a : b + 1]))
+            blocks.append((a, b, row[own >= 0], own[own >= 0]))
 
         def smooth(x: np.ndarray) -> tuple[float, np.ndarray]:
-            z = np.bincount(row, weights=x[place], minlength=n) + dense @ x[width : width + extra] + x[-1]
+            z = dense @ x[width : width + extra] + x[-1]
+            for a, b, row, place in blocks:
+                z[a:b] += np.bincount(row, weights=x[place], minlength=b - a)
             wrong = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
             value = float((np.logaddexp(0, z) - y * z).mean())
-            out = np.empty(len(x))
-            out[:width] = np.bincount(place, weights=wrong[row], minlength=width)[:width]
+            out = np.zeros(len(x))
+            for a, b, row, place in blocks:
+                out[:width] += np.bincount(place, weights=wrong[a:b][row], minlength=width)[:width]
             out[width : width + extra], out[-1] = dense.T @ wrong, wrong.sum()
             return value, out / n
 
@@ -132,11 +154,23 @@ class Lasso:
         self.weights, self.dense, self.constant = x[:width], x[width : width + extra], float(x[-1])
         return self
 
-    def probability(self, places: Sequence[np.ndarray], dense: np.ndarray) -> np.ndarray:
+    def probability(self, places: np.ndarray, starts: np.ndarray, dense: np.ndarray) -> np.ndarray:
         table = np.zeros(FEATURES)
         table[self.held] = self.weights
-        z = np.array([table[p].sum() for p in places]) + dense @ self.dense + self.constant
-        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        return _sigmoid(_sums(table, places, starts) + dense @ self.dense + self.constant)
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def _sums(table: np.ndarray, places: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per row the sum of its places' weights."""
+    out = np.zeros(len(starts) - 1)
+    for a, b in _slices(starts):
+        row = np.repeat(np.arange(b - a), np.diff(starts[a : b + 1]))
+        out[a:b] = np.bincount(row, weights=table[places[starts[a] : starts[b]]], minlength=b - a)
+    return out
 
 
 @dataclass
@@ -158,11 +192,10 @@ class Link:
             return np.full(len(starts) - 1, self.fixed)
         table = np.zeros(FEATURES)
         table[self.places] = self.weights
-        sums = np.concatenate(([0.0], np.cumsum(table[flat])))
-        z = sums[starts[1:]] - sums[starts[:-1]] + self.constant
+        z = _sums(table, flat, starts) + self.constant
         for weight, column in zip(self.earlier, earlier, strict=True):
             z = z + weight * column
-        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        return _sigmoid(z)
 
 
 @dataclass
@@ -177,7 +210,7 @@ class ToxicityChain:
         @F.pandas_udf("array<double>")
         def judged(places: pd.Series) -> pd.Series:
             starts = np.concatenate(([0], np.cumsum(places.map(len).to_numpy(dtype=np.int64))))
-            flat = np.concatenate(places.tolist()) if starts[-1] else np.empty(0, dtype=np.int64)
+            flat = np.concatenate(places.tolist()) if starts[-1] else np.empty(0, dtype=np.int32)
             found: list[np.ndarray] = []
             for link in links:
                 found.append(link.probability(flat, starts, found))
@@ -210,24 +243,34 @@ def _fits(rows: DataFrame, y: str, folds: Sequence[int]) -> DataFrame:
     below 0 are -1 for the constant, -2 and on for the earlier categories.
     """
 
-    def each(part: pd.DataFrame) -> pd.DataFrame:
-        k = int(part["part"].iloc[0])
-        known = part[part["y"].notna() & (part["fold"] != k)]
-        dense = np.array(known["earlier"].tolist(), dtype=float).reshape(len(known), -1)
-        model = Lasso().fit(known["places"].tolist(), dense, known["y"].to_numpy())
+    def dense_of(table: pa.Table) -> np.ndarray:
+        return np.array(table["earlier"].to_pylist(), dtype=float).reshape(table.num_rows, -1)
+
+    def places_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        lists = table["places"].combine_chunks()
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        return lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+
+    def each(part: pa.Table) -> pa.Table:
+        k = part["part"][0].as_py()
+        own = pc.equal(part["fold"], k)
+        known = part.filter(pc.and_(pc.invert(own), pc.is_valid(part["y"])))
+        model = Lasso().fit(*places_of(known), dense_of(known), known["y"].to_numpy())
+        del known
         if k >= 0:
-            due = part[part["fold"] == k]
-            dense = np.array(due["earlier"].tolist(), dtype=float).reshape(len(due), -1)
-            found = model.probability(due["places"].tolist(), dense)
-            return pd.DataFrame({"part": k, "row": due["row"].to_numpy(), "place": 0, "value": found})
-        used = np.flatnonzero(model.weights)
-        places = np.concatenate((model.held[used], -2 - np.arange(len(model.dense)), [-1]))
-        values = np.concatenate((model.weights[used], model.dense, [model.constant]))
-        return pd.DataFrame({"part": k, "row": -1, "place": places, "value": values})
+            due = part.filter(own)
+            rows, values = due["row"].to_numpy(), model.probability(*places_of(due), dense_of(due))
+            places = np.zeros(len(rows))
+        else:
+            used = np.flatnonzero(model.weights)
+            places = np.concatenate((model.held[used], -2 - np.arange(len(model.dense)), [-1]))
+            values = np.concatenate((model.weights[used], model.dense, [model.constant]))
+            rows = np.full(len(places), -1)
+        columns = [np.full(len(rows), k, dtype=np.int32), rows.astype(np.int64), places.astype(np.int32), values]
+        return pa.table([pa.array(c) for c in columns], names=["part", "row", "place", "value"])
 
     parts = rows.select("row", "fold", F.col(y).alias("y"), "places", "earlier", F.explode(F.lit([*folds])).alias("part"))
-    fits = parts.groupBy("part").applyInPandas(each, "part int, row long, place int, value double")
-    return cut_lineage(fits)
+    return cut_lineage(parts.groupBy("part").applyInArrow(each, "part int, row long, place int, value double"))
 
 
 def fit_chain(
