@@ -92,3 +92,17 @@ def test_alignment():
 def test_hostile_markup():
     for html in ("<" * 50_000, "<a href='" * 5_000, "<p class=\"" + "x" * 50_000, "<!--" * 5_000, "</p>" * 20_000, "&" * 50_000):
         extract(html, None)
+
+
+def test_nothing_of_the_article_is_lost(spark):
+    """Foreign elements that end at once, unlucky names, formulas; what is beside the article still goes."""
+    body = (
+        '<article class="social policy"><h1>T</h1><p>a <svg width="1"/> b</p><svg><text>no</text></svg>'
+        '<div class="search-trees"><p>trees</p></div><section id="related-work"><p>earlier work</p></section>'
+        '<div class="related-posts"><p>other posts</p></div><div class="share"><p>share me</p></div>'
+        "<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z</p><p>end</p></article>"
+    )
+    teaser = '<article class="post related"><p>Read this too</p></article>'
+    pages = [(i, f"http://n{i % 2}.example/{i}", f"<html><body>{body}{teaser}</body></html>") for i in range(6)]
+    texts = {r.text for r in main_texts(rows(spark, pages)).collect()}
+    assert texts == {"T\n\na b\n\ntrees\n\nearlier work\n\nx y=2 z\n\nend"}

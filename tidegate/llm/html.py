@@ -40,10 +40,11 @@ _SMALL = 40_000
 
 # Fixed values of the markup language.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
+RAW = set("script style textarea title xmp iframe noembed noframes noscript template svg annotation annotation-xml".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr br img".split()
+    "strike strong sub sup time tt u var wbr br img math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover "
+    "munder munderover mtable mtr mtd mspace mstyle mpadded menclose semantics".split()
 )
 CLOSES = {  # what an opening element ends if it is still open
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -61,6 +62,17 @@ APART_WORDS = set(
     "replies share sharing social related recommended recommendations pagination pager login search toolbar "
     "copyright paywall".split()
 )
+# Of these words, those that make even an article element something beside the article.
+BESIDE_WORDS = set(
+    "ad ads advert advertisement advertising adverts sponsor sponsored promo promotion related recommended "
+    "recommendations comment comments disqus respond reply replies teaser".split()
+)
+# Words that go with those above in one name (related-posts); with any other word the name is the article's own.
+COMPANIONS = set(
+    "area articles bar block body bottom box button buttons container content count entry footer form group header heading "
+    "icons inline inner item items left link links list main meta outer page panel post posts right row section site "
+    "slot stories story text thread title top unit wrap wrapper".split()
+)
 TOP = set("html body article main".split())
 ARTICLE_WORDS = set("articlebody".split())
 
@@ -81,11 +93,15 @@ class Element:
 
 
 def _label(name: str, attributes: str) -> str:
-    """Element name and the words of its class, id, role and itemprop, numbers apart."""
-    words: set[str] = set()
+    """Element name and the names in its class, id, role and itemprop, words joined by "-", numbers apart."""
+    names: set[str] = set()
     for _, *values in _ATTRIBUTE.findall(attributes):
-        words.update(w for w in re.split(r"[^a-z]+", "".join(values).lower()) if w)
-    return " ".join([name, *sorted(words)])
+        names.update("-".join(re.findall("[a-z]+", n)) for n in "".join(values).lower().split())
+    return " ".join([name, *sorted(names - {""})])
+
+
+def _words(names: list[str]) -> set[str]:
+    return {w for n in names for w in n.split("-")}
 
 
 def parse(html: str) -> Element:
@@ -132,7 +148,10 @@ def parse(html: str) -> Element:
             continue
         if name == "br":
             text(" ")
+        closed = ((found["rest"] if found["name"] else found["rest2"]) or "").rstrip().endswith("/")
         if name in RAW:
+            if closed and name == "svg":  # foreign elements may end at once; others of these cannot
+                continue
             ends = re.compile(rf"</{re.escape(name)}\b[^>]*+(?:>|\Z)", re.IGNORECASE).search(html, at)
             at = ends.end() if ends else size
             continue
@@ -147,7 +166,7 @@ def parse(html: str) -> Element:
         attributes = found["rest"] if found["name"] else found["rest2"]
         element = Element(name, _label(name, attributes or ""))
         stack[-1].children.append(element)
-        if (attributes or "").rstrip().endswith("/"):
+        if closed:
             continue
         if len(stack) < DEPTH:
             stack.append(element)
@@ -246,23 +265,32 @@ def shape(element: Element) -> list[list]:
 
 
 def _apart(label: str, inside: bool) -> bool:
-    name, *words = label.split(" ")
-    if name in TOP and not (name == "article" and APART_WORDS & set(words)):
-        return False
-    if name in APART or APART_WORDS & set(words):
+    """Is the element something beside the article? `inside` tells that it lies in the article's region.
+
+    There a name counts only if all its words do: `related-posts` is beside the article, `related-work`
+    is a part of it.
+    """
+    name, *names = label.split(" ")
+    if name in TOP:
+        return name == "article" and bool(BESIDE_WORDS & _words(names))
+    if name in APART:
         return True
-    return not inside and (name == "header" or "header" in words)
+    if inside:
+        return any(APART_WORDS & set(n.split("-")) and set(n.split("-")) <= APART_WORDS | COMPANIONS for n in names)
+    words = _words(names)
+    return bool(APART_WORDS & words) or name == "header" or "header" in words
 
 
 def _regions(items: list[list], inside: bool = False) -> set[str]:
     """Which kinds of main region the wrapper has outside of menus and the like."""
     found: set[str] = set()
     for label, _, _, inner in items:
-        name, *words = label.split(" ")
+        name, *names = label.split(" ")
+        words = _words(names)
         if label == GROUP:
             found |= _regions(inner, inside)
         elif label != SLOT and not _apart(label, inside):
-            if name == "article" or ARTICLE_WORDS & set(words):
+            if name == "article" or ARTICLE_WORDS & words:
                 found.add("article")
             if name == "main" or "main" in words:
                 found.add("main")
@@ -271,9 +299,10 @@ def _regions(items: list[list], inside: bool = False) -> set[str]:
 
 
 def _is_region(label: str, region: str) -> bool:
-    name, *words = label.split(" ")
+    name, *names = label.split(" ")
+    words = _words(names)
     if region == "article":
-        return name == "article" or bool(ARTICLE_WORDS & set(words))
+        return name == "article" or bool(ARTICLE_WORDS & words)
     return name == "main" or "main" in words
 
 
