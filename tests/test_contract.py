@@ -68,3 +68,22 @@ def test_reserved_and_repeated_columns():
         columns = T.StructType([T.StructField(n, T.IntegerType()) for n in names])
         with pytest.raises(ContractError, match=message):
             TableContract("s", "t", columns, keys=(names[0],))
+
+
+def test_row_expressions(spark):
+    from tidegate.contract import ContractError
+
+    def declared(*tests, column=()):
+        columns = [{"name": "a b", "data_type": "int", "tests": list(column)}, {"name": "c", "data_type": "string"}]
+        return TableContract.from_mapping("s", {"name": "t", "columns": columns, "tests": list(tests)})
+
+    good = declared({"expression": "a_b > 1 OR c = 'x'", "name": "n"}, column=[{"expression": "BETWEEN 0 AND 9"}])
+    good.check(spark)
+    assert [(r.name, r.predicate) for r in good.rules] == [
+        ("expression(`a_b` BETWEEN 0 AND 9)", "NOT (`a_b` BETWEEN 0 AND 9)"), ("n", "NOT (a_b > 1 OR c = 'x')"),
+    ]
+    for bad in ("nowhere > 1", "a_b >", "a_b + 1"):
+        with pytest.raises(ContractError):
+            declared({"expression": bad}).check(spark)
+    with pytest.raises(ContractError):
+        declared({"where": "a_b > 1"})

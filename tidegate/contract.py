@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException, ParseException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidegate.functions.names import clean_label, clean_major_label, key_list
-from tidegate.operators.quality import Accepted, NotNull, References, Rule, Unique
+from tidegate.operators.quality import Accepted, NotNull, References, Rule, Unique, Where
 
 # The load strategies a contract may name.
 STRATEGIES = ("merge_date_rows", "merge_update", "merge_insert", "insert", "replace")
@@ -75,6 +76,18 @@ class TableContract:
             found.append("absent='keep' needs a header: JSON rows do not tell which columns a file lacks")
         return found
 
+    def check(self, spark: SparkSession) -> None:
+        """Refuse row rules that do not parse, name unknown columns or are no conditions; no file is read for it."""
+        empty, found = spark.createDataFrame([], self.schema), []
+        for rule in self.rules:
+            try:
+                if isinstance(rule, Where) and empty.selectExpr(rule.predicate).schema[0].dataType != T.BooleanType():
+                    found.append(f"rule {rule.name!r} is no condition: {rule.predicate}")
+            except (AnalysisException, ParseException) as error:
+                found.append(f"rule {rule.name!r} cannot be used: {str(error).splitlines()[0]}")
+        if found:
+            raise ContractError("; ".join(found))
+
     @property
     def format(self) -> str:
         return "json" if self.options.get("type") == "json" else "csv"
@@ -126,7 +139,11 @@ class TableContract:
     def from_mapping(
         cls, source: str, spec: Mapping, parents: Mapping[str, DataFrame] | None = None, **extra
     ) -> TableContract:
-        """Build from the nested mapping form (name, join, file_details, columns with tests)."""
+        """Build from the nested mapping form (name, join, file_details, columns with tests, tests of rows).
+
+        A test of rows is {"expression": condition}, with a "name" if wanted, in the clean column names; as a
+        column's test the condition goes on after the column, as in ">= 0". A row fails if it is false.
+        """
         fields, rules = [], []
         for column in spec["columns"]:
             raw = column["name"].strip("`")
@@ -134,6 +151,7 @@ class TableContract:
             fields.append(T.StructField(raw, data_type, column.get("nullable", True)))
             for test in column.get("tests", []):
                 rules.append(_rule(clean_label(raw), test, parents or {}))
+        rules += [_expression(test) for test in spec.get("tests", [])]
         join = spec.get("join", {})
         return cls(
             source=source,
@@ -147,11 +165,20 @@ class TableContract:
         )
 
 
+def _expression(test, column: str | None = None) -> Where:
+    if not isinstance(test, Mapping) or not isinstance(test.get("expression"), str):
+        raise ContractError(f"unknown test {test!r} of the table's rows")
+    whole = test["expression"] if column is None else f"`{column}` {test['expression']}"
+    return Where(test.get("name", f"expression({whole})"), f"NOT ({whole})")
+
+
 def _rule(column: str, test, parents: Mapping[str, DataFrame]) -> Rule:
     if test == "not_null":
         return NotNull(column)
     if test == "unique":
         return Unique(column)
+    if isinstance(test, Mapping) and "expression" in test:
+        return _expression(test, column)
     if isinstance(test, Mapping) and "accepted_values" in test:
         return Accepted(column, tuple(test["accepted_values"]["values"]))
     if isinstance(test, Mapping) and "relationships" in test:

@@ -154,6 +154,7 @@ def ingest_batch(
     different folders, are refused: the name is a file's identity in the ledger.
     """
     spark = store.spark
+    contract.check(spark)
     files = list_files(spark, paths).select(
         F.lit(contract.source).alias("source"), F.lit(contract.table).alias("table"), "file_name", "path"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.contract import TableContract
-from tidegate.operators.quality import NotNull, Unique
+from tidegate.operators.quality import FAILED, NotNull, Unique, mark
 from tidegate.plans.ingest import Store, ingest_batch, ingest_review
 from tidegate.plans.registry import registered, table
 from tidegate.session import scratch_path
@@ -294,3 +294,38 @@ def ingest_review_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("ingest_review_replace", ALL_ORDERS)
 def ingest_review_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reviewed(spark, sf_dir, "replace")
+
+
+@registered(
+    "contract_expressions",
+    """SELECT o_orderkey, array_to_string(list_filter([
+              CASE WHEN o_totalprice < 1000 THEN 'expression(`o_totalprice` >= 1000)' END,
+              CASE WHEN o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT' THEN 'pending is urgent' END,
+              CASE WHEN NOT o_custkey + o_orderkey % 7 > 6 THEN 'expression(o_custkey + o_orderkey % 7 > 6)' END
+              ], lambda n: n IS NOT NULL), ',') AS failed
+       FROM orders""",
+)
+def contract_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free conditions on rows, written in a contract's mapping and checked against its columns."""
+    declared = TableContract.from_mapping(
+        "shop",
+        {
+            "name": "orders",
+            "join": {"type": "insert", "column": "o_orderkey"},
+            "columns": [
+                {
+                    "name": f.name,
+                    "data_type": f.dataType.simpleString(),
+                    "tests": [{"expression": ">= 1000"}] if f.name == "o_totalprice" else [],
+                }
+                for f in COLUMNS.fields
+            ],
+            "tests": [
+                {"name": "pending is urgent", "expression": "o_orderstatus != 'P' OR o_orderpriority = '1-URGENT'"},
+                {"expression": "o_custkey + o_orderkey % 7 > 6"},
+            ],
+        },
+    )
+    declared.check(spark)
+    marked = mark(table(spark, sf_dir, "orders"), declared.rules)
+    return marked.select("o_orderkey", F.array_join(FAILED, ",").alias("failed"))
