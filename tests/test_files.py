@@ -156,3 +156,13 @@ def test_headers_as_written(spark, tmp_path):
     assert lines.select(fields(F.col("l"), "|", "'")).first()[0] == ["a", "b|c", "d''"]
     double = spark.createDataFrame([("a||b|c||d",)], "l string")
     assert double.select(fields(F.col("l"), "||", "'")).first()[0] == ["a", "b|c", "d"]
+
+
+def test_unreadable_records_are_kept(spark, tmp_path):
+    write(tmp_path, "a.csv", 'date,"open, high",is Good\n2020-01-01,abc,true\n2020-01-02,1.5,false\nx,y,z,too many\n')
+    frame, _ = read_files(spark, str(tmp_path), contract())
+    assert {r.date is None: r._record for r in frame.where("_record IS NOT NULL AND date IS NULL").collect()} == {True: "x,y,z,too many"}
+    assert sorted(r._record or "" for r in frame.collect()) == ["", "2020-01-01,abc,true", "x,y,z,too many"]
+    write(tmp_path / "j", "a.json", '{"date": "2020-01-01", "is Good": true}\n{"date": oops\n')
+    frame, _ = read_files(spark, str(tmp_path / "j"), contract(options={"type": "json", "dateFormat": "yyyy-MM-dd"}))
+    assert sorted(r._record or "" for r in frame.collect()) == ["", '{"date": oops']

@@ -41,6 +41,7 @@ from tidegate.sources.scan import (
     HASH,
     INCREMENT,
     PRESENT,
+    RECORD,
     proceeding,
     raise_refused,
     scan,
@@ -303,6 +304,7 @@ def _staged_schema(contract: TableContract) -> T.StructType:
     return T.StructType(
         [
             *contract.schema.fields,
+            T.StructField(RECORD, T.StringType()),
             T.StructField(FILE_NAME, T.StringType()),
             T.StructField(FILE_TIME, T.TimestampType()),
             T.StructField(FOLDER, T.StringType()),

@@ -15,7 +15,7 @@ from tidegate.plans.registry import registered, table
 from tidegate.session import scratch_path
 from tidegate.sources.files import list_files
 from tidegate.sources.headers import audit
-from tidegate.sources.scan import FILE_NAME, HASH, INCREMENT, read_files, scan, stage_files
+from tidegate.sources.scan import FILE_NAME, HASH, INCREMENT, RECORD, read_files, scan, stage_files
 from tidegate.streaming.arrivals import ingest_arrivals
 
 COLUMNS = T.StructType(
@@ -329,3 +329,18 @@ def contract_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared.check(spark)
     marked = mark(table(spark, sf_dir, "orders"), declared.rules)
     return marked.select("o_orderkey", F.array_join(FAILED, ",").alias("failed"))
+
+
+@registered(
+    "quarantined_records",
+    """SELECT o_orderkey, o_orderkey || ',' || o_custkey || ',P,abc,' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ',1-URGENT' AS record
+       FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'""",
+)
+def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw record of every row that went to review because a field could not be read."""
+    store, source = _fresh_store(spark, "records")
+    folder = scratch_path(spark, "arrived")
+    as_text(table(spark, sf_dir, "orders")).write.option("header", True).csv(folder)
+    declared = contract(source)
+    ingest_batch(store, declared, folder, "first", datetime(2024, 6, 1))
+    return store.review(declared).select("o_orderkey", F.col(RECORD).alias("record"))

@@ -18,7 +18,10 @@ from tidegate.sources.files import list_files, literal_path
 from tidegate.sources.headers import audit, violations
 
 FILE_NAME, FILE_TIME, FOLDER, INCREMENT, PRESENT, HASH = "_file_name", "_file_time", "_folder", "_increment", "_present", "_hash"
+# The raw record of a row of which something could not be read; NULL otherwise.
+RECORD = "_record"
 _ORIGIN = (
+    T.StructField(RECORD, T.StringType()),
     T.StructField(FILE_NAME, T.StringType()),
     T.StructField(FILE_TIME, T.TimestampType()),
     T.StructField(FOLDER, T.StringType()),
@@ -34,6 +37,7 @@ def _finish(raw: DataFrame, contract: TableContract, names: Sequence[str]) -> Da
     """Clean names, every contract column in order, and where each row came from."""
     renamed = raw.select(
         *[quoted(n).alias(clean_label(n)) for n in names],
+        RECORD,
         _plain_file_name().alias(FILE_NAME),
         F.col("_metadata.file_modification_time").alias(FILE_TIME),
         F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(FOLDER),
@@ -55,12 +59,13 @@ def scan(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if contract.format == "json":
-        raw = spark.read.schema(contract.read_schema).options(**contract.reader_options).json(paths)
+        whole = T.StructType([*contract.read_schema.fields, _ORIGIN[0]])
+        raw = spark.read.schema(whole).options(**contract.reader_options, columnNameOfCorruptRecord=RECORD).json(paths)
         return _finish(raw, contract, contract.raw_names)
     by_name = {f.name: f for f in contract.read_schema.fields}
     names = list(header) if header is not None else contract.raw_names
-    schema = T.StructType([by_name[n] for n in names])
-    options = {"mode": "PERMISSIVE", **contract.reader_options, "enforceSchema": "false"}
+    schema = T.StructType([*[by_name[n] for n in names], _ORIGIN[0]])
+    options = {"mode": "PERMISSIVE", **contract.reader_options, "enforceSchema": "false", "columnNameOfCorruptRecord": RECORD}
     raw = spark.read.schema(schema).options(**options).csv(paths)
     return _finish(raw, contract, names)
 
