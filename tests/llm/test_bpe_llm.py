@@ -86,3 +86,13 @@ def test_decoding_gives_the_text_back(spark, vocabulary):
 
 def test_empty_table(nothing):
     assert encoded(nothing, FILE).count() == 0
+
+
+def test_joined_decoder_in_any_pieces():
+    from tidegate.llm.bpe import JoinedDecoder
+
+    table = {3: b"ab", 5: b"c</w>", 9: "é".encode()}
+    ids = [3, 5, 9, 9, 3]
+    for cuts in ([], [1], [0, 0, 2, 5], [1, 2, 3, 4]):
+        decoder, at = JoinedDecoder(table), [0, *cuts, len(ids)]
+        assert b"".join(decoder.feed(ids[a:b]) for a, b in zip(at, at[1:], strict=False)) == "ab c</w> é é ab".encode()

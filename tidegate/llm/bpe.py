@@ -218,12 +218,29 @@ class TextDecoder:
             yield "�"
 
 
+class JoinedDecoder:
+    """Takes identifiers bit by bit, as a tokenizer file without a decoder wants them: every token, joined by one space.
+
+    The state is what goes before the next token: nothing at first, then a space.
+    """
+
+    def __init__(self, table: dict[int, bytes]):
+        self.table, self.gap = table, b""
+
+    def feed(self, ids: Iterable[int]) -> bytes:
+        table = self.table
+        tokens = [table[i] for i in ids]
+        if not tokens:
+            return b""
+        before, self.gap = self.gap, b" "
+        return before + b" ".join(tokens)
+
+
 class Run(NamedTuple):
-    """A word's identifiers, and how they and their tokens are written."""
+    """A word's identifiers, and how they are written."""
 
     ids: tuple[int, ...]
     written: bytes
-    decoded: bytes
 
 
 class Encoder(dict):
@@ -239,8 +256,8 @@ class Encoder(dict):
         self.gap = re.compile(f"[{_SPACES}]")
 
     def _run(self, ids: Iterable[int]) -> Run:
-        ids, tokens = tuple(ids), self.vocabulary.tokens
-        return Run(ids, " ".join(map(str, ids)).encode(), " ".join([tokens[i] for i in ids]).encode("utf-8"))
+        ids = tuple(ids)
+        return Run(ids, " ".join(map(str, ids)).encode())
 
     def _encoded(self, word: str) -> Iterator[int]:
         ids, transducer = self.vocabulary.ids, WordTransducer(self.vocabulary)
@@ -303,8 +320,8 @@ def encoded(
 ) -> DataFrame:
     """Per row: its id, n_tokens, ids_sha256, decoded_sha256, and on request the ids themselves.
 
-    The decoded form joins the tokens by one space, as the tokenizer file names no decoder;
-    `decoded_texts` gives the text back. NULL and empty texts have no tokens and the digests
+    The decoded form comes from the identifiers, slice by slice, through `JoinedDecoder`, as the
+    tokenizer file names no decoder; `decoded_texts` gives the text back. NULL and empty texts have no tokens and the digests
     of the empty string. Rows stand by themselves, repeated rows and NULL ids too; texts of any
     length are encoded whole. Other columns are not read.
     """
@@ -320,17 +337,20 @@ def encoded(
             _WORKER.clear()
             _WORKER[id(vocabulary)] = Encoder(vocabulary)
         encoder = _WORKER[id(vocabulary)]
+        table = {i: token.encode("utf-8") for i, token in vocabulary.tokens.items()}
         for batch in batches:
             counts, written, back, all_ids = [], [], [], []
             for text in batch.column(1).to_pylist():
                 n, ids, decoded, gap, kept = 0, hashlib.sha256(), hashlib.sha256(), b"", []
+                decoder = JoinedDecoder(table)
                 for runs in encoder.runs(text):
                     ids.update(gap + b" ".join([run[1] for run in runs]))
-                    decoded.update(gap + b" ".join([run[2] for run in runs]))
                     gap = b" "
-                    n += sum([len(run[0]) for run in runs])
+                    numbers = list(chain.from_iterable([run[0] for run in runs]))
+                    decoded.update(decoder.feed(numbers))
+                    n += len(numbers)
                     if with_ids:
-                        kept.extend(chain.from_iterable([run[0] for run in runs]))
+                        kept.extend(numbers)
                 counts.append(n)
                 written.append(ids.hexdigest())
                 back.append(decoded.hexdigest())
