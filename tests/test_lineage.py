@@ -105,3 +105,31 @@ def test_levels_of_a_random_graph(spark):
     want |= dict.fromkeys(["c1", "c2", "d1", "d2"])
     got = lineage.levels(links, starts(spark, "n000", "n000")).collect()
     assert {r.node: r.level for r in got} == want and len(got) == len(want)
+
+
+def test_rounds_shuffle_the_frontier_alone(spark):
+    """Edges are bucketed by parent, but for a hot parent's; repeated ones come once."""
+    pairs = [(f"p{i % 700}", f"c{i}") for i in range(1400)] + [("hot", f"c{i}") for i in range(700)]
+    links = spark.createDataFrame(pairs + pairs[:50], "parent string, child string")
+    frontier = starts(spark, "hot", "p1", "p2", "z")
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with lineage._stored(links) as stored:
+            assert stored.hot_parents == ["hot"]
+            cold = stored.spread.join(frontier.withColumnRenamed("node", "parent"), "parent")
+            plan = cold._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1
+            got = rows(stored.leaving(frontier))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert got == sorted(p for p in pairs if p[0] in ("hot", "p1", "p2"))
+
+
+def test_impact_found_out_late(spark):
+    """A node that is seen before something above it is known to have failed is blocked all the same."""
+    links = spark.createDataFrame(
+        [("a", "x"), ("x", "y"), ("a", "b"), ("b", "c"), ("c", "x"), ("y", "b")], "parent string, child string"
+    )
+    status = {r.node: r.status for r in lineage.impact(links, starts(spark, "a"), starts(spark, "c")).collect()}
+    assert status == {"a": "done", "b": "blocked", "c": "blocked", "x": "blocked", "y": "blocked"}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import lineage
 from tidegate.plans.propagate import rebuild
 from tidegate.plans.registry import registered, table
-from tidegate.session import cut_lineage, scratch_path
+from tidegate.session import scratch_path
 
 
 def node_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +62,8 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _edge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The edges as a written table: every round of a traversal reads them."""
-    return cut_lineage(lineage_edges(spark, sf_dir))
+    """The edges as the node table has them; a traversal stores the distinct ones, by parent."""
+    return lineage.links(node_table(spark, sf_dir))
 
 
 def _starts(spark: SparkSession, sf_dir: str, condition: str = "TRUE") -> DataFrame:
