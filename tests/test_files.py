@@ -166,3 +166,34 @@ def test_unreadable_records_are_kept(spark, tmp_path):
     write(tmp_path / "j", "a.json", '{"date": "2020-01-01", "is Good": true}\n{"date": oops\n')
     frame, _ = read_files(spark, str(tmp_path / "j"), contract(options={"type": "json", "dateFormat": "yyyy-MM-dd"}))
     assert sorted(r._record or "" for r in frame.collect()) == ["", '{"date": oops']
+
+
+def test_headers_are_read_as_text(spark, tmp_path, capsys):
+    write(tmp_path, "a b+c.csv", '\t \n\u0000\n#a note\ndate,"open, high",is Good\n2020-01-01,1.5,True\n')
+    write(tmp_path, "é%20.csv", "is Good,date\nTrue,2020-01-01\n")
+    declared = contract(options={**OPTIONS, "comment": "#"})
+    audited = audit(list_files(spark, str(tmp_path)), declared)
+    found = {r.path.rsplit("/", 1)[-1]: (r.header, r.refused) for r in audited.collect()}
+    assert found == {
+        "a b+c.csv": (["date", "open, high", "is Good"], False),
+        "é%20.csv": (["is Good", "date"], False),
+    }
+    capsys.readouterr()
+    audited.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Scan text" in plan and "Scan csv" not in plan
+
+
+def test_headers_in_other_encodings_are_decoded(spark, tmp_path):
+    with open(tmp_path / "a.csv", "w", encoding="iso-8859-1") as f:
+        f.write("date,Größe\n2020-01-01,1\n")
+    declared = contract(options={**OPTIONS, "encoding": "ISO-8859-1"})
+    audited = audit(list_files(spark, str(tmp_path)), declared)
+    assert [r.header for r in audited.collect()] == [["date", "Größe"]]
+
+
+def test_folder_of_a_file(spark, tmp_path):
+    write(tmp_path / "in x%", "a+b %.csv", "date,is Good\n2020-01-01,True\n")
+    frame, _ = read_files(spark, str(tmp_path / "in x%"), contract())
+    row = frame.select(FILE_NAME, "_folder").first()
+    assert row[0] == "a+b %.csv" and row[1].endswith("/in%20x%25")

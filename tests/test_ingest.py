@@ -463,3 +463,28 @@ def test_repeated_updates_and_colliding_hashes(spark):
     moved = book.rekey_rows(held, renamed.mapping)
     assert moved.count() == 3 and renamed.ledger.count() == 2
     assert {r._hash for r in moved.collect()} == {r.hash for r in renamed.ledger.collect()}
+
+
+def test_files_without_a_common_key_are_not_weighed_against_each_other(world, monkeypatch):
+    """Choosing a file per key joins the whole batch with itself; an empty table is joined with nothing."""
+    store, contract, raw = world
+    write(raw, "a.csv", days(count=20).values())
+    write(raw, "b.csv", days(datetime(2018, 1, 1), 20).values())
+    monkeypatch.setattr(ingest, "from_one_file", lambda *_: pytest.fail("no two files hold one key"))
+    monkeypatch.setattr(ingest, "outgrows_broadcast", lambda *_: pytest.fail("the table is empty"))
+    ingest_batch(store, contract, raw, "b1", T1)
+    assert data(store, contract).count() == 40
+
+
+def test_clean_rows_keep_no_copy_of_their_header(world, monkeypatch):
+    """Nothing reads it of them; of quarantined rows it stays."""
+    store, contract, raw = world
+    lines = days(count=4)
+    write(raw, "a.csv", [*lines.values(), ["2019-01-01", "abc", *lines["2017-01-01"][2:]]])
+    seen = []
+    load_table = ingest._load_table
+    monkeypatch.setattr(ingest, "_load_table", lambda s, c, clean, run: (seen.extend(clean.collect()), load_table(s, c, clean, run)))
+    ingest_batch(store, contract, raw, "b1", T1)
+    assert {r._present for r in seen} == {None} and len(seen) == 4
+    assert [r._present for r in store.review(contract).collect()] == [NAMES]
+    assert data(store, contract).count() == 4

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,7 +115,7 @@ def mark(df: DataFrame, rules: Sequence[Rule], scope: Sequence[str] = (), measur
     `measured` computes the set of duplicate values first and broadcasts it if small,
     which spares shuffling the rows; it starts a job of its own.
     """
-    verdicts, flags, kept = [], [], df.columns
+    verdicts, fails, flags, kept = [], [], [], df.columns
     for i, rule in enumerate(rules):
         if isinstance(rule, Unique):
             flag = f"__rule{i}_"
@@ -129,7 +130,11 @@ def mark(df: DataFrame, rules: Sequence[Rule], scope: Sequence[str] = (), measur
         else:
             failing = rule.fails()
         verdicts.append(F.when(failing, F.lit(rule.name)))
-    failed = F.array_compact(F.array(*verdicts)) if verdicts else F.array().cast("array<string>")
+        fails.append(F.coalesce(failing, F.lit(False)))
+    failed = none = F.array().cast("array<string>")
+    if verdicts:
+        # Names are gathered for failing rows only: a function over an array's elements is not compiled.
+        failed = F.when(reduce(or_, fails), F.array_compact(F.array(*verdicts))).otherwise(none)
     return df.select(*[quoted(c) for c in kept], failed.alias(FAILED))
 
 

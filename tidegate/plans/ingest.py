@@ -30,7 +30,7 @@ from tidegate.operators.dedup import from_one_file, has_copies
 from tidegate.operators.evolve import align
 from tidegate.operators.merge import load, new_rows
 from tidegate.operators.sizing import outgrows_broadcast
-from tidegate.session import cut_lineage, remove_folder, step_copy
+from tidegate.session import cut_lineage, remove_folder, setting, step_copy
 from tidegate.sources import tables
 from tidegate.sources.files import list_files, literal_path
 from tidegate.sources.headers import audit, violations
@@ -276,7 +276,11 @@ def _test_and_load(
         marked = quality.mark(staged, contract.rules, scope=(FILE_NAME, INCREMENT), measured=True)
         # The load time is fixed here, so that a repeated load offers the same rows.
         dated = marked.withColumns({"_datetime_added": stamp(at), CLEAN: F.size(quality.FAILED) == 0})
-        dated.write.mode("overwrite").partitionBy(CLEAN).parquet(marked_at)
+        if contract.absent != "keep":  # of clean rows nothing reads it then
+            dated = dated.withColumn(PRESENT, F.when(~F.col(CLEAN), quoted(PRESENT)))
+        # Both parts are written side by side, which spares sorting the rows by them.
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+            dated.write.mode("overwrite").partitionBy(CLEAN).parquet(marked_at)
     marked = spark.read.schema(_marked_schema(contract)).parquet(marked_at)
     failing = marked.where(~F.col(CLEAN)).drop(CLEAN, "_datetime_added")
     failures = cut_lineage(quality.failures(failing, [FILE_NAME, INCREMENT]))
@@ -347,11 +351,13 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame, run: st
         return
 
     pick = "first" if contract.strategy == "merge_insert" else "latest"
-    chosen = clean
-    if clean.select(FILE_TIME, FILE_NAME).distinct().limit(2).count() > 1:
+    chosen, copies = clean, has_copies(clean, contract.keys)
+    # Without a key that occurs twice there is none that several files hold.
+    if copies and clean.select(FILE_TIME, FILE_NAME).distinct().limit(2).count() > 1:
         chosen = from_one_file(clean, contract.keys, [FILE_TIME, FILE_NAME], pick)
     offered = chosen.select(*[quoted(c) for c in columns], *([quoted(PRESENT)] if contract.absent == "keep" else []))
-    options = {"on_duplicate": contract.on_duplicate, "unique": not has_copies(offered, contract.keys)}
+    unique = not copies or (chosen is not clean and not has_copies(offered, contract.keys))
+    options = {"on_duplicate": contract.on_duplicate, "unique": unique}
     if contract.on_duplicate in ("latest", "first"):
         offered = offered.withColumns({FILE_TIME: chosen[FILE_TIME], FILE_NAME: chosen[FILE_NAME]})
         options["order_by"] = [FILE_TIME, FILE_NAME]
@@ -362,7 +368,10 @@ def _load_table(store: Store, contract: TableContract, clean: DataFrame, run: st
         held = tables.others(spark, name, run)
         tables.append(spark, name, new_rows(held, offered, contract.keys, **options), load=run)
         return
-    options["large"] = outgrows_broadcast(offered)
+    if target.isEmpty():
+        target = target.limit(0)  # says so to the planner: the rows are not joined with nothing
+    else:
+        options["large"] = outgrows_broadcast(offered)
     state_at = store.step("state", contract, run)
     if not tables.is_complete(spark, state_at):
         before = _touched(target, offered, contract) if contract.partition_by else target

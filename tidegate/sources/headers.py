@@ -1,13 +1,15 @@
 """Header audit: the first line of every file against the contract.
 
-Spark's own reader gives the lines; only a file's first split is looked at, and of that
-one line per file is kept before anything is shuffled. Taking the line apart and comparing
+Spark's own reader gives the lines, as text without taking them apart where that is UTF-8; only a
+file's first split is looked at, and of that one line per file is kept before anything is shuffled. Taking the line apart and comparing
 it with the contract are expressions in the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +19,8 @@ from tidegate.sources.files import literal_path
 # Stands for the separator while lines are read whole; no text file has it.
 _NO_SEPARATOR = "\u0001"
 _LINE = T.StructType([T.StructField("line", T.StringType())])
+# What a line without text consists of, as Spark's CSV reader sees it.
+_BLANKS = "".join(map(chr, range(33)))
 
 
 def _literal(text: str) -> str:
@@ -53,17 +57,17 @@ def headers(files: DataFrame, contract: TableContract) -> DataFrame:
     if not paths:
         return files.select("path", nothing)
     options = contract.reader_options
-    kept = {k: v for k, v in options.items() if k.lower() in ("encoding", "charset", "comment", "linesep")}
-    reader = spark.read.schema(_LINE).options(**kept, header="false", sep=_NO_SEPARATOR, quote="", maxCharsPerColumn="-1")
-    lines = reader.csv(paths).select(
+    lines = _lines(spark, paths, options).select(
         F.col("_metadata.file_path").alias("at"), F.col("_metadata.file_block_start").alias("start"), "line",
         F.monotonically_increasing_id().alias("no"),
     )
     first = (
         lines.where(F.col("start") == 0)
-        .where(F.trim(F.col("line")) != "")
+        .where(F.ltrim(F.col("line"), F.lit(_BLANKS)) != "")
         .groupBy("at")
-        .agg(F.min_by("line", "no").alias("line"))
+        # The path out of the aggregate: what is made of it below cannot move down to every line.
+        .agg(F.min(F.struct("no", "line", "at")).alias("first"))
+        .select("first.at", "first.line")
     )
     found = fields(F.col("line"), contract.separator, str(options.get("quote", '"'))).alias("header")
     # The reader names files percent-encoded, the listing as they are.
@@ -75,6 +79,20 @@ def headers(files: DataFrame, contract: TableContract) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, paths: list[str], options: Mapping[str, object]) -> DataFrame:
+    """The files' lines but comments, one column `line`."""
+    kept = {k.lower(): v for k, v in options.items() if k.lower() in ("encoding", "charset", "comment", "linesep")}
+    if str(kept.get("encoding", kept.get("charset", "utf-8"))).lower() not in ("utf-8", "utf8"):
+        # Spark's text reader takes bytes as they are; the CSV reader decodes them.
+        reader = spark.read.schema(_LINE).options(**kept, header="false", sep=_NO_SEPARATOR, quote="", maxCharsPerColumn="-1")
+        return reader.csv(paths)
+    reader = spark.read.schema(_LINE)
+    if "linesep" in kept:
+        reader = reader.option("lineSep", kept["linesep"])
+    lines, comment = reader.text(paths), str(kept.get("comment", ""))
+    return lines.where(~F.col("line").startswith(comment)) if comment.strip("\0") else lines
+
+
 def _place(path: Column) -> Column:
     """A path without the slashes that one of Spark's two ways of writing it adds after the scheme."""
     return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")

@@ -29,8 +29,18 @@ _ORIGIN = (
 
 
 def _plain_file_name() -> Column:
-    """The file's name as listed: `_metadata` has it percent-encoded, plus signs as they are."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    """The file's name as listed: `_metadata` has it percent-encoded, plus signs as they are.
+
+    Evaluated for every row, so names without an encoded character are taken as they are.
+    """
+    name = F.col("_metadata.file_name")
+    return F.when(name.contains("%"), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name)
+
+
+def _folder() -> Column:
+    """The file's path up to its last slash, found from the end: a pattern would try every slash of every row."""
+    path = F.col("_metadata.file_path")
+    return F.left(path, F.length(path) - F.length(F.substring_index(path, "/", -1)) - 1)
 
 
 def _finish(raw: DataFrame, contract: TableContract, names: Sequence[str]) -> DataFrame:
@@ -40,7 +50,7 @@ def _finish(raw: DataFrame, contract: TableContract, names: Sequence[str]) -> Da
         RECORD,
         _plain_file_name().alias(FILE_NAME),
         F.col("_metadata.file_modification_time").alias(FILE_TIME),
-        F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(FOLDER),
+        _folder().alias(FOLDER),
     )
     origin = T.StructType([*contract.schema.fields, *_ORIGIN])
     present = F.array(*[F.lit(clean_label(n)) for n in names])
