@@ -1,10 +1,14 @@
 import random
+import sys
+from itertools import chain
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from odd_rows import ODD_ROWS, clashing, sha
 from tokenizers import Tokenizer
 
+from tidegate.llm import bpe
 from tidegate.llm.bpe import Encoder, TextDecoder, Vocabulary, WordTransducer, decoded_texts, encoded, merged, sufficient_lookahead
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -96,3 +100,21 @@ def test_joined_decoder_in_any_pieces():
     for cuts in ([], [1], [0, 0, 2, 5], [1, 2, 3, 4]):
         decoder, at = JoinedDecoder(table), [0, *cuts, len(ids)]
         assert b"".join(decoder.feed(ids[a:b]) for a, b in zip(at, at[1:], strict=False)) == "ab c</w> é é ab".encode()
+
+
+def test_a_kept_word_is_small(vocabulary):
+    """A word costs its identifiers, four bytes each, in one object."""
+    encoder = Encoder(vocabulary)
+    for run in chain.from_iterable(encoder.runs("unbelievably " + "zxqvkjw" * 6)):
+        parts = [part for part in run if not isinstance(part, int)]
+        assert sum(map(sys.getsizeof, [run, *parts])) < 64 + 4 * len(run.ids)
+
+
+def test_identifiers_leave_in_bounded_batches(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "BATCH_IDS", 50)
+    texts = [None, "", *("word and some others " * (i % 9) for i in range(200)), "", "a " * 500, None]
+    batches = list(bpe._encoded_rows(Encoder(vocabulary), pa.array(range(len(texts))), pa.array(texts), "doc_id", True))
+    rows = [row for batch in batches for row in batch.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(len(texts)))
+    assert [r["ids"] for r in rows] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert all(sum(len(r["ids"]) for r in batch.to_pylist()[:-1]) < 50 for batch in batches)

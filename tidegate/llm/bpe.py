@@ -16,13 +16,13 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
-from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,8 @@ from tidegate.functions.compare import quoted
 KEPT_WORDS = 1 << 18
 KEPT_LENGTH = 48
 SLICE_CHARS = 1 << 16
+# Identifiers after which the rows so far are given on as a batch of their own.
+BATCH_IDS = 1 << 18
 # White space as Unicode defines it.
 _SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -236,11 +238,14 @@ class JoinedDecoder:
         return before + b" ".join(tokens)
 
 
-class Run(NamedTuple):
-    """A word's identifiers, and how they are written."""
+class Run(bytes):
+    """A word's identifiers, four bytes each: a worker keeps very many of them."""
 
-    ids: tuple[int, ...]
-    written: bytes
+    __slots__ = ()
+
+    @property
+    def ids(self) -> list[int]:
+        return memoryview(self).cast("i").tolist()
 
 
 class Encoder(dict):
@@ -254,10 +259,12 @@ class Encoder(dict):
         self.older: dict[str, Run] = {}
         self.specials = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")")
         self.gap = re.compile(f"[{_SPACES}]")
+        # How identifiers and tokens are written.
+        self.figures = {i: str(i).encode() for i in vocabulary.tokens}
+        self.written = {i: token.encode("utf-8") for i, token in vocabulary.tokens.items()}
 
     def _run(self, ids: Iterable[int]) -> Run:
-        ids = tuple(ids)
-        return Run(ids, " ".join(map(str, ids)).encode())
+        return Run(array("i", ids).tobytes())
 
     def _encoded(self, word: str) -> Iterator[int]:
         ids, transducer = self.vocabulary.ids, WordTransducer(self.vocabulary)
@@ -305,12 +312,46 @@ class Encoder(dict):
                 if found:
                     yield found
 
+    def numbers(self, text: str | None) -> Iterator[list[int]]:
+        """The identifiers of the text, slice by slice."""
+        for runs in self.runs(text):
+            yield memoryview(b"".join(runs)).cast("i").tolist()
+
 
 _WORKER: dict[int, Encoder] = {}
 
 _DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+def _encoded_rows(
+    encoder: Encoder, keys: pa.Array, texts: pa.Array, id_column: str, with_ids: bool
+) -> Iterator[pa.RecordBatch]:
+    """The rows of `encoded` for these texts, in batches that the row which fills them closes."""
+    first, counts, written, back, kept = 0, [], [], [], array("i")
+    for at, text in enumerate(texts, 1):
+        n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        writer, decoder = JoinedDecoder(encoder.figures), JoinedDecoder(encoder.written)
+        for numbers in encoder.numbers(text.as_py()):
+            ids.update(writer.feed(numbers))
+            decoded.update(decoder.feed(numbers))
+            n += len(numbers)
+            if with_ids:
+                kept.extend(numbers)
+        counts.append(n)
+        written.append(ids.hexdigest())
+        back.append(decoded.hexdigest())
+        if len(kept) < BATCH_IDS and at < len(texts):
+            continue
+        columns = [keys[first:at], pa.array(counts, pa.int64()), pa.array(written), pa.array(back)]
+        names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            ends = pa.array(np.cumsum([0, *counts]), pa.int32())
+            columns.append(pa.ListArray.from_arrays(ends, pa.array(np.array(kept, dtype=np.int32))))
+            names.append("ids")
+        yield pa.RecordBatch.from_arrays(columns, names)
+        first, counts, written, back, kept = at, [], [], [], array("i")
+
+
 def encoded(
     docs: DataFrame,
     tokenizer_file: str,
@@ -337,30 +378,8 @@ def encoded(
             _WORKER.clear()
             _WORKER[id(vocabulary)] = Encoder(vocabulary)
         encoder = _WORKER[id(vocabulary)]
-        table = {i: token.encode("utf-8") for i, token in vocabulary.tokens.items()}
         for batch in batches:
-            counts, written, back, all_ids = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                n, ids, decoded, gap, kept = 0, hashlib.sha256(), hashlib.sha256(), b"", []
-                decoder = JoinedDecoder(table)
-                for runs in encoder.runs(text):
-                    ids.update(gap + b" ".join([run[1] for run in runs]))
-                    gap = b" "
-                    numbers = list(chain.from_iterable([run[0] for run in runs]))
-                    decoded.update(decoder.feed(numbers))
-                    n += len(numbers)
-                    if with_ids:
-                        kept.extend(numbers)
-                counts.append(n)
-                written.append(ids.hexdigest())
-                back.append(decoded.hexdigest())
-                all_ids.append(kept)
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(written), pa.array(back)]
-            names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(all_ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield from _encoded_rows(encoder, batch.column(0), batch.column(1), id_column, with_ids)
 
     return docs.select(quoted(id_column), quoted(text_column).cast("string").alias("text")).mapInArrow(each, schema)
 
